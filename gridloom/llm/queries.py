@@ -6,17 +6,56 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(spark, _table(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import histogram, suffix_sums
+
+    return suffix_sums(histogram(_table(spark, sf_dir, "documents")))
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_all
+
+    return find_all(spark, _table(spark, sf_dir, "documents"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chunks import repeats
+
+    return repeats(spark, _table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import JaccardJoin
 
     return JaccardJoin(spark, _table(spark, sf_dir, "documents")).run()
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import text_media
+
+    return text_media(_table(spark, sf_dir, "documents"))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+')"
 
@@ -36,9 +75,40 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
 
+_OP2 = f"""
+WITH z AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+    len(regexp_extract_all(coalesce(text, ''), '[$%&#*!|<>{{}}=]')) AS symbols,
+    (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u
+  FROM documents),
+k AS (SELECT *, -ln(u) / CASE WHEN size + symbols = 0 THEN 1.0 ELSE greatest(0.01, size::DOUBLE / (size + symbols)) END AS key FROM z),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
+t AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM s),
+w AS (SELECT *, [5, 2, 1][turn % 3 + 1] AS weight, 3.0 * source_size / [5, 2, 1][turn % 3 + 1] AS cap_rate FROM t),
+l AS (SELECT *, ((SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(3 * source_size) OVER (ORDER BY cap_rate, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+    / (sum(weight) OVER (ORDER BY cap_rate, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM w),
+v AS (SELECT level FROM l WHERE cap_rate >= level ORDER BY cap_rate, turn LIMIT 1),
+g AS (SELECT source, source_size, least(3.0 * source_size, coalesce((SELECT level FROM v) * weight, 3.0 * source_size))::DOUBLE AS target FROM l),
+p AS (SELECT k.doc_id, k.size, g.source_size, g.target,
+    coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size) ELSE 0 END::BIGINT AS whole
+  FROM k JOIN g ON k.source IS NOT DISTINCT FROM g.source),
+e AS (SELECT *, whole + CASE WHEN target - whole * source_size > 0 AND before + size / 2.0 <= target - whole * source_size THEN 1 ELSE 0 END AS epochs FROM p)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (epochs * size)::BIGINT AS taken, epochs FROM e
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_jaccard_join": op6_jaccard_join}
+    return {
+        "op2_source_mix": op2_source_mix,
+        "op3_token_counts": op3_token_counts,
+        "op4_personal_data": op4_personal_data,
+        "op5_substring_dedup": op5_substring_dedup,
+        "op6_jaccard_join": op6_jaccard_join,
+        "op8_decontamination": op8_decontamination,
+        "op9_media": op9_media,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_jaccard_join": _OP6}
+    return {"op2_source_mix": _OP2, "op6_jaccard_join": _OP6}
