@@ -3,7 +3,9 @@
 Sources in code point order (null last) take the weights in turn and share the whole budget; a source's target stops
 at ``most`` times its size and the excess goes to the others by weight. Within a source every document gets the
 exponential key -ln(u) / w, with u from a digest of its id and w its quality weight; documents are taken in
-order of the key until the prefix sum of their sizes meets the target. Complete epochs precede that fraction.
+order of the key while the prefix sum of their sizes stays within the target. Complete epochs precede that fraction. What
+is then left of a source's target goes to the largest further document that fits (the first of them in order), so that
+a source comes near its target in whole documents.
 
 The order within a source is cut into buckets by the key, so that a source with a third of all rows is summed in many
 tasks: bucket sums first, their running offsets next, running sums within a bucket last.
@@ -70,6 +72,15 @@ def mix(spark: SparkSession, documents: DataFrame, weights: tuple[int, ...] = (5
     rows = named(base).withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, ["source", "has_source", "bucket"])
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     rows = rows.withColumn("whole", epochs).withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
-    more = (F.col("left") > 0) & (F.col("offset") + F.col("inside") + F.col("size") / 2.0 <= F.col("left"))
+    rows = rows.withColumn("before", F.col("offset") + F.col("inside")).withColumn("fits", F.col("before") + F.col("size") <= F.col("left"))
+
+    keys = ["source", "has_source"]
+    met = rows.where("fits").groupBy(*keys).agg(F.max(F.col("before") + F.col("size")).alias("met"))
+    rest = offsets.select(*keys, "bucket").join(met, keys, "left").withColumn("met", F.coalesce("met", F.lit(0)))
+    rows = rows.join(rest, [*keys, "bucket"])
+    last = F.when(~F.col("fits") & (F.col("size") > 0) & (F.col("met") + F.col("size") <= F.col("left")), F.struct("size", (-F.col("before")).alias("place")))
+    best = rows.groupBy(*keys).agg(F.max(last).alias("best"))
+    rows = rows.join(offsets.select(*keys, "bucket").join(best, keys), [*keys, "bucket"])
+    more = F.col("fits") | F.coalesce((F.col("size") == F.col("best.size")) & (-F.col("before") == F.col("best.place")), F.lit(False))
     rows = rows.withColumn("epochs", F.col("whole") + more.cast("long"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size")).alias("taken"), "epochs")

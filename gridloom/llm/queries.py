@@ -90,10 +90,15 @@ l AS (SELECT *, ((SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(3 * sou
 v AS (SELECT level FROM l WHERE cap_rate >= level ORDER BY cap_rate, turn LIMIT 1),
 g AS (SELECT source, source_size, least(3.0 * source_size, coalesce((SELECT level FROM v) * weight, 3.0 * source_size))::DOUBLE AS target FROM l),
 p AS (SELECT k.doc_id, k.size, g.source_size, g.target,
-    coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    k.source, coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
     CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size) ELSE 0 END::BIGINT AS whole
   FROM k JOIN g ON k.source IS NOT DISTINCT FROM g.source),
-e AS (SELECT *, whole + CASE WHEN target - whole * source_size > 0 AND before + size / 2.0 <= target - whole * source_size THEN 1 ELSE 0 END AS epochs FROM p)
+f AS (SELECT *, target - whole * source_size AS rest, before + size <= target - whole * source_size AS fits FROM p),
+m AS (SELECT source, max(before + size) FILTER (WHERE fits) AS met FROM f GROUP BY source),
+c AS (SELECT f.source, f.size, f.before, row_number() OVER (PARTITION BY f.source ORDER BY f.size DESC, f.before) AS turn
+  FROM f JOIN m ON f.source IS NOT DISTINCT FROM m.source WHERE NOT fits AND size > 0 AND coalesce(m.met, 0) + f.size <= f.rest),
+e AS (SELECT f.*, f.whole + CASE WHEN f.fits OR c.turn = 1 THEN 1 ELSE 0 END AS epochs
+  FROM f LEFT JOIN c ON c.turn = 1 AND f.source IS NOT DISTINCT FROM c.source AND f.size = c.size AND f.before = c.before)
 SELECT doc_id, size::BIGINT AS size, source_size, target, (epochs * size)::BIGINT AS taken, epochs FROM e
 """
 
