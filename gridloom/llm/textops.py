@@ -19,6 +19,8 @@ SHINGLE = 5
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+#: For words without punctuation: letters, digits and all bytes of non-ASCII characters.
+LETTERS = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _RNG = np.random.default_rng(20240607)
@@ -81,11 +83,11 @@ class Words:
         return np.diff(self.first)
 
 
-def words(column: pa.Array, lower: bool = True) -> Words:
+def words(column: pa.Array, lower: bool = True, inner: np.ndarray = _IS_WORD) -> Words:
     raw, off = utf8(column)
     n = len(off) - 1
     data = _LOWER[raw] if lower else raw
-    inside = _IS_WORD[raw]
+    inside = inner[raw]
     before = np.empty_like(inside)
     after = np.empty_like(inside)
     if len(inside):
