@@ -1,13 +1,61 @@
-"""Corpus pipeline: stages over ``documents``, each one an operator of ``gridloom.llm``."""
+"""Corpus pipeline: stages over ``documents``, each one an operator of ``gridloom.llm``.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; a table is written between stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gridloom.llm import decontaminate, mixing, pii, quality
+from gridloom.llm.jaccard_join import JaccardJoin
 from gridloom.llm.scratch import Scratch
+from gridloom.session import ship
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained quality classifier keeps."""
+    ship(spark)
+    model = quality.train(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model).where("keep").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest document of each group of linked texts, once; rows without an id stay."""
+    ship(spark)
+    kept = JaccardJoin(spark, docs).run().where("doc_id = component_id").select("doc_id").distinct()
+    known = docs.join(kept, "doc_id").select(*docs.columns).dropDuplicates(["doc_id"])
+    return known.unionByName(docs.where("doc_id is null"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    ship(spark)
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked by kind."""
+    ship(spark)
+    return pii.mask(docs, pii.train(pii.sample_texts(docs)))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the source mix takes, with the words it takes of them."""
+    ship(spark)
+    return mixing.mixed_documents(spark, docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", keep_good),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", without_benchmark),
+    ("personal data", without_personal_data),
+    ("source mix", mixed),
+]
 
+#: Two of the stages apply trained models, which SQL can't express; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
@@ -18,5 +66,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = scratch.table(docs, name)
+            docs = scratch.table(docs, name.replace(" ", "-"))
     return docs

@@ -116,6 +116,16 @@ def _candidates(s: np.ndarray, first: np.ndarray, index: Index) -> set[tuple[int
     return out
 
 
+def _hits(part: pa.RecordBatch, index: Index, percent: int):
+    """(row, item, shingles of the item, those found in the text) of each verified hit."""
+    s, first = textops.shingles(textops.words(part.column(part.schema.get_field_index("text"))))
+    for row, item in sorted(_candidates(s, first, index)):
+        own = index.sets[index.first[item] : index.first[item + 1]]
+        found = int(np.isin(own, s[first[row] : first[row + 1]]).sum())
+        if 100 * found >= percent * len(own):
+            yield row, item, len(own), found
+
+
 def search(documents: DataFrame, items: Index, percent: int = 80) -> DataFrame:
     """``doc_id, item_id, item_shingles, found_shingles`` of each document that contains an item of the block.
 
@@ -127,15 +137,11 @@ def search(documents: DataFrame, items: Index, percent: int = 80) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = held.value
         for part in textops.slices(batches):
-            s, first = textops.shingles(textops.words(part.column(1)))
             out: list[list] = [[], [], [], []]
             ids = part.column(0)
-            for row, item in sorted(_candidates(s, first, index)):
-                own = index.sets[index.first[item] : index.first[item + 1]]
-                found = int(np.isin(own, s[first[row] : first[row + 1]]).sum())
-                if 100 * found >= percent * len(own):
-                    for column, x in zip(out, (ids[row].as_py(), int(index.ids[item]), len(own), found), strict=True):
-                        column.append(x)
+            for row, item, size, found in _hits(part, index, percent):
+                for column, x in zip(out, (ids[row].as_py(), int(index.ids[item]), size, found), strict=True):
+                    column.append(x)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["doc_id", "item_id", "item_shingles", "found_shingles"])
 
@@ -163,3 +169,19 @@ def contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame
         part = search(documents, index, percent)
         out = part if out is None else out.union(part)
     return spark.createDataFrame([], "doc_id long, item_id long, item_shingles long, found_shingles long") if out is None else out
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
+    """``documents`` without those that contain an item; no row is shuffled."""
+    sc = documents.sparkSession.sparkContext
+    for index in blocks(benchmark):
+        held = sc.broadcast(index)
+
+        def rows(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for part in textops.slices(batches):
+                keep = np.ones(part.num_rows, bool)
+                keep[[row for row, *_ in _hits(part, held.value, percent)]] = False
+                yield part.filter(pa.array(keep))
+
+        documents = documents.mapInArrow(rows, documents.schema)
+    return documents

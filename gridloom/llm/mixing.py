@@ -47,19 +47,19 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), budget_perce
     return s.withColumn("target", F.coalesce(F.least(cap, F.col("level") * F.col("weight")), cap)).select("source", "source_size", "weight", "target")
 
 
-def mix(spark: SparkSession, documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), seed: str = "mix", budget_percent: int = 100, most: int = 3, weight: Column | None = None) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, epochs`` for each row of ``documents``.
+def mix(spark: SparkSession, documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), seed: str = "mix", budget_percent: int = 100, most: int = 3, weight: Column | None = None, also: dict[str, Column] | None = None) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, epochs`` for each row of ``documents``, and the small columns of ``also``.
 
     Null and empty texts have size 0 and take nothing; a null source is a source; a null id is keyed as 'null';
     repeated rows have equal keys and are taken one by one. An empty table gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))
     size = F.regexp_count(text, F.lit(WORD)).cast("long")
-    base = documents.select("doc_id", "source", size.alias("size"), (quality_weight(text, size) if weight is None else weight).alias("w"))
+    base = documents.select("doc_id", "source", size.alias("size"), (quality_weight(text, size) if weight is None else weight).alias("w"), *(c.alias(f"also_{k}") for k, c in (also or {}).items()))
     u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
     base = base.withColumn("key", -F.ln(u) / F.col("w"))
     base = base.withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(F.lit(BUCKETS) * (1 - F.exp(-F.col("key"))))).cast("int"))
-    base = Scratch(spark, "mixing").table(base.select("doc_id", "source", "size", "key", "bucket"), "sizes")
+    base = Scratch(spark, "mixing").table(base.drop("w"), "sizes")
 
     sums = base.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     goal = targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, budget_percent, most)
@@ -83,4 +83,18 @@ def mix(spark: SparkSession, documents: DataFrame, weights: tuple[int, ...] = (5
     rows = rows.join(offsets.select(*keys, "bucket").join(best, keys), [*keys, "bucket"])
     more = F.col("fits") | F.coalesce((F.col("size") == F.col("best.size")) & (-F.col("before") == F.col("best.place")), F.lit(False))
     rows = rows.withColumn("epochs", F.col("whole") + more.cast("long"))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size")).alias("taken"), "epochs")
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size")).alias("taken"), "epochs", *(F.col(f"also_{k}").alias(k) for k in also or {}))
+
+
+def mixed_documents(spark: SparkSession, documents: DataFrame, **options) -> DataFrame:
+    """The documents that the mix takes, with all their columns and ``size, source_size, target, taken, epochs``.
+
+    Rows that repeat an id and its text are one row, with what is taken of all of them.
+    """
+    digest = F.xxhash64(F.coalesce("text", F.lit("")), "source")
+    got = mix(spark, documents, also={"digest": digest}, **options).where("epochs > 0")
+    got = got.groupBy(F.col("doc_id").alias("mixed_id"), "digest").agg(*(F.first(c).alias(c) for c in ("size", "source_size", "target")), F.sum("taken").alias("taken"), F.sum("epochs").alias("epochs"))
+    names = [c for c in documents.columns if c not in ("size", "source_size", "target", "taken", "epochs")]
+    rows = documents.select(*names, digest.alias("own_digest"))
+    out = rows.join(got, F.col("doc_id").eqNullSafe(F.col("mixed_id")) & (F.col("own_digest") == F.col("digest")))
+    return out.dropDuplicates(["doc_id", "own_digest"]).select(*names, "size", "source_size", "target", "taken", "epochs")

@@ -14,6 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .brown import BrownModel
+
+    return BrownModel(spark, _table(spark, sf_dir, "documents")).scores()
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -44,6 +50,13 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return JaccardJoin(spark, _table(spark, sf_dir, "documents")).run()
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score, train
+
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, train(spark, docs, _table(spark, sf_dir, "labels"))).select("doc_id", "text_score", "meta_score", "score", "keep")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contaminated
 
@@ -56,6 +69,13 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score, train
+
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, train(spark, docs, _table(spark, sf_dir, "labels")))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+')"
 
@@ -105,13 +125,16 @@ SELECT doc_id, size::BIGINT AS size, source_size, target, (epochs * size)::BIGIN
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_brown_scores": op1_brown_scores,
         "op2_source_mix": op2_source_mix,
         "op3_token_counts": op3_token_counts,
         "op4_personal_data": op4_personal_data,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_jaccard_join": op6_jaccard_join,
+        "op7_quality": op7_quality,
         "op8_decontamination": op8_decontamination,
         "op9_media": op9_media,
+        "op10_toxicity": op10_toxicity,
     }
 
 
