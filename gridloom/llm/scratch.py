@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -32,18 +33,28 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self._n = 0
+        self._open: dict[str, list[str]] = {}
         atexit.register(self._delete, self.root)
 
     def write(self, frame: DataFrame, name: str = "t") -> str:
         path = f"{self.root}/{self._n:03d}-{name}"
         self._n += 1
         frame.write.parquet(path, compression="zstd")
+        self._open.setdefault(name, []).append(path)
         return path
 
     def table(self, frame: DataFrame, name: str = "t") -> DataFrame:
         schema = frame.schema
         return self.spark.read.schema(schema).parquet(self.write(frame, name))
 
+    def release(self, *names: str) -> None:
+        """Drops the tables of these names, and lets Spark drop the shuffle files that nothing refers to any more."""
+        for name in names:
+            for path in self._open.pop(name, []):
+                self._delete(path)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, path: str) -> None:
         self._delete(path)
 
