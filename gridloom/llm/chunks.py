@@ -109,6 +109,7 @@ def repeats(spark: SparkSession, documents: DataFrame, least: int = PASSAGE, id_
     rows = scratch.table(rows, "runs")
     place = F.struct("doc_id", "first")
     known = rows.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("digest", "low")
+    known = scratch.table(known, "repeated")  # a table of its own, so that the join below may split a digest with very many rows
     same = rows.join(known, "digest").withColumn("removed", ~((F.col("doc_id").eqNullSafe(F.col("low.doc_id"))) & (F.col("first") == F.col("low.first"))))
     order = Window.partitionBy("doc_id", "removed").orderBy("first", "last")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
