@@ -1 +1,34 @@
+"""Registered queries: each a function of (spark, sf_dir), most with the DuckDB SQL that gives the same rows."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..session import ship
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function under its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def load() -> None:
+    """Imports the modules that register queries."""
+    from . import learning, objects, raster, scalars, spatial  # noqa: F401
