@@ -31,4 +31,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from . import learning, objects, raster, scalars, spatial  # noqa: F401
+    from . import extras, imagery, learning, objects, raster, scalars, spatial  # noqa: F401
