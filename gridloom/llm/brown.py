@@ -194,7 +194,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             table[a] -= r
             table[:, a] -= l
             table[a, a] -= own
-            rows, columns = table.sum(1), table.sum(0)
+            rows, columns = table.sum(1) + l, table.sum(0) + r  # whatever class w goes to, its neighbours keep these bigrams
             gain = (xlogx(table + r) - xlogx(table)).sum(1) + (xlogx(table + l[:, None]) - xlogx(table)).sum(0)
             d = np.diag(table)
             gain += xlogx(d + r + l + own) - xlogx(d + r) - xlogx(d + l) + xlogx(d)

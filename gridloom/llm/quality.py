@@ -26,7 +26,7 @@ PER_CLASS, POOL = 2000, 3000
 ROUNDS = 4
 #: A pseudo-label needs this probability; a view passes on at most this many of each class a round.
 CONFIDENT, PASSED_ON = 0.97, 150
-#: Share of good calibration rows that the threshold may reject at most.
+#: Share of the good labelled rows that the threshold may reject at most.
 LOST = 0.001
 
 _CLASS = np.zeros(256, np.int64)
@@ -129,8 +129,8 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.nd
     both = np.stack([scales[k].logit(view[k].logit(x[held])[:, None]) for k, x in (("text", text), ("meta", meta))], 1)
     joint = fit_logistic(both, y[held], penalty=1e-2)
     model = CoTrained(view["text"], view["meta"], scales["text"], scales["meta"], joint, 0.5)
-    good = model.scores(text[held][y[held] == 1], meta[held][y[held] == 1])[2]
-    model.threshold = float(min(0.5, np.quantile(good, LOST))) if len(good) else 0.0
+    good = model.scores(text[y == 1], meta[y == 1])[2]
+    model.threshold = float(min(0.5, np.quantile(good, LOST, method="lower"))) if len(good) else 0.0
     return model
 
 

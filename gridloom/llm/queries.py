@@ -123,6 +123,17 @@ SELECT doc_id, size::BIGINT AS size, source_size, target, (epochs * size)::BIGIN
 """
 
 
+_GRAMS = """unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END) AS g"""
+_OP8 = f"""
+WITH d AS (SELECT doc_id, {_GRAMS} FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+q AS (SELECT item_id, {_GRAMS} FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+n AS (SELECT item_id, count(*) AS n FROM q GROUP BY item_id),
+o AS (SELECT d.doc_id, q.item_id, count(*) AS c FROM d JOIN q USING (g) GROUP BY 1, 2)
+SELECT doc_id, item_id, n AS item_shingles, c AS found_shingles FROM o JOIN n USING (item_id) WHERE 100 * c >= 80 * n
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_brown_scores": op1_brown_scores,
@@ -139,4 +150,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mix": _OP2, "op6_jaccard_join": _OP6}
+    return {"op2_source_mix": _OP2, "op6_jaccard_join": _OP6, "op8_decontamination": _OP8}
