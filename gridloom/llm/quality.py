@@ -24,6 +24,8 @@ from .linear import Logistic, fit_logistic, labelled_sample, sigmoid, unlabelled
 #: Labelled rows of each class, and unlabelled rows, that training may see.
 PER_CLASS, POOL = 2000, 3000
 ROUNDS = 4
+#: Ridge penalty of both views, against standardised features and classes that weigh one half each.
+PENALTY = 0.03
 #: A pseudo-label needs this probability; a view passes on at most this many of each class a round.
 CONFIDENT, PASSED_ON = 0.97, 150
 #: Share of the good labelled rows that the threshold may reject at most.
@@ -114,18 +116,22 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.nd
     own = {"text": (text[fit], y[fit]), "meta": (meta[fit], y[fit])}
     pool = {"text": pool_text, "meta": pool_meta}
     free = {"text": np.ones(len(pool_text), bool), "meta": np.ones(len(pool_text), bool)}
-    view = {k: fit_logistic(*own[k]) for k in own}
-    for _ in range(ROUNDS):
+    view = {k: fit_logistic(*own[k], penalty=PENALTY) for k in own}
+    seen = {"text": text, "meta": meta}
+    calibrated = lambda k, rows: fit_logistic(view[k].logit(seen[k][rows])[:, None], y[rows])
+    for _ in range(ROUNDS if back.any() else 0):
+        # confidence is that of held-back rows: a view that has only learnt its own rows by heart teaches nothing
+        sure_of = {k: sigmoid(calibrated(k, back).logit(view[k].logit(pool[k])[:, None])) if len(pool[k]) else np.zeros(0) for k in view}
         for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            p = sigmoid(view[teacher].logit(pool[teacher])) if len(pool[teacher]) else np.zeros(0)
+            p = sure_of[teacher]
             for label, confidence in ((1, p), (0, 1 - p)):
                 sure = np.flatnonzero(free[pupil] & (confidence >= CONFIDENT))
                 sure = sure[np.argsort(-confidence[sure], kind="stable")][:PASSED_ON]
                 free[pupil][sure] = False
                 own[pupil] = (np.concatenate((own[pupil][0], pool[pupil][sure])), np.concatenate((own[pupil][1], np.full(len(sure), label))))
-        view = {k: fit_logistic(*own[k]) for k in own}
+        view = {k: fit_logistic(*own[k], penalty=PENALTY) for k in own}
     held = back if back.any() else fit
-    scales = {k: fit_logistic(view[k].logit(x[held])[:, None], y[held]) for k, x in (("text", text), ("meta", meta))}
+    scales = {k: calibrated(k, held) for k in view}
     both = np.stack([scales[k].logit(view[k].logit(x[held])[:, None]) for k, x in (("text", text), ("meta", meta))], 1)
     joint = fit_logistic(both, y[held], penalty=1e-2)
     model = CoTrained(view["text"], view["meta"], scales["text"], scales["meta"], joint, 0.5)

@@ -1,13 +1,12 @@
 """Each stage of the pipeline against a plain version on its own input."""
 
-import re
-
 import corpus_pipeline as P
 from gridloom.llm import pii
 
-from ..conftest import SF
+from ..conftest import SF as SMALL
 from .common import DOCS, shingles, words
 
+SF = SMALL.replace("0.001", "0.01")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -45,7 +44,7 @@ def test_stages(spark, tmp_path):
     leaks = {k for k in c if any(100 * len(q & sets[k]) >= 80 * len(q) for q in bench if q)}
     assert set(d) == set(c) - leaks
     for k, r in e.items():
-        assert len(re.findall("x", r["text"])) >= 0 and not pii.base_spans(r["text"]) and r["n_chars"] == len(r["text"])
+        assert not pii.base_spans(r["text"]) and r["n_chars"] == len(r["text"])
         if not pii.base_spans(d[k]["text"]):
             assert r["text"] == d[k]["text"]
     assert set(g) <= set(f) and all(r["taken"] == r["epochs"] * len(words(r["text"])) > 0 for r in g.values())
@@ -56,4 +55,4 @@ def test_run_and_empty(spark, tmp_path):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
-    assert P.run(spark, SF).count() > 0
+    assert P.run(spark, SMALL).count() > 0
