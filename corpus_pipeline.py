@@ -6,7 +6,6 @@ Every stage takes (spark, docs, sf_dir) and works on all that its predecessor ke
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridloom.llm import decontaminate, mixing, pii, quality
 from gridloom.llm.jaccard_join import JaccardJoin
