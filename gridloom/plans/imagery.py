@@ -131,7 +131,7 @@ def convert_cells(spark, sf):
 
 @query(f"""WITH {_GRID}, s AS (SELECT r, c, lo, (r // 4) * 100 + c // 5 * 2 + CASE WHEN lo > 4 THEN 1 ELSE 0 END AS lab FROM g), st AS (SELECT lab, count(*) AS n, avg(lo) AS m FROM s GROUP BY 1),
 p AS (SELECT DISTINCT x.lab AS a, y.lab AS b FROM s x JOIN s y ON abs(x.r - y.r) + abs(x.c - y.c) = 1 AND x.lab <> y.lab), q AS (SELECT a, b, round(abs(u.m - w.m), 9) AS d FROM p JOIN st u ON u.lab = a JOIN st w ON w.lab = b WHERE u.n < 6),
-t AS (SELECT a, b FROM q QUALIFY row_number() OVER (PARTITION BY a ORDER BY d, b) = 1) SELECT s.r AS "row", s.c AS col, coalesce(t.b, s.lab) AS lab FROM s LEFT JOIN t ON t.a = s.lab""")
+t AS (SELECT a, b FROM q QUALIFY row_number() OVER (PARTITION BY a ORDER BY d, b) = 1) SELECT s.r AS "row", s.c AS col, coalesce(t.b, s.lab)::BIGINT AS lab FROM s LEFT JOIN t ON t.a = s.lab""")
 def small_regions(spark, sf):
     lab = F.expr("row div 4") * 100 + F.expr("col div 5") * 2 + F.when(F.col("lo") > 4, 1).otherwise(0)
     c = raster.cells(spark, sf).select("row", "col", "lo", lab.alias("lab"))
