@@ -276,11 +276,7 @@ def _analysed(batches: Iterator[pa.RecordBatch], field: Field):
     for part in textops.slices(batches):
         texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
         base = [base_spans(t) for t in texts]
-        live = [k for k, b in enumerate(base) if b]
-        added: list[list[Span]] = [[] for _ in texts]
-        for k, more in zip(live, added_spans([texts[k] for k in live], [base[k] for k in live], field), strict=True):
-            added[k] = more
-        yield part, texts, base, added
+        yield part, texts, base, added_spans(texts, base, field)
 
 
 def find(documents: DataFrame, field: Field, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -83,3 +84,12 @@ def test_untrained_field_adds_nothing():
     field = pii.train(["no numbers here"])
     text = "a@b.co 555-1234567"
     assert pii.added_spans([text], [pii.base_spans(text)], field) == [[]]
+
+
+def test_field_applies_to_documents_without_a_base_span(spark):
+    node = np.zeros((pii.FEATURES, 5))
+    node[15, 4] = 20.0  # both brackets: a telephone number
+    field = pii.Field(node, np.zeros((5, 5)), np.zeros((5, 5)))
+    f = frame(spark, [(1, "ask (743)5553824 now", None, None, 20), (2, "nothing", None, None, 7)])
+    assert {(r["doc_id"], r["spans"], r["n_added"]) for r in pii.find(f, field).collect()} == {(1, "phone:4:16", 1), (2, "", 0)}
+    assert {r["text"] for r in pii.mask(f, field).collect()} == {"ask [PHONE] now", "nothing"}
