@@ -2,9 +2,10 @@
 
 Patterns give the base spans of four kinds. The field's nodes are the tokens that could belong to personal data (they
 hold a digit or '@'); neighbouring tokens share chain potentials, and tokens that repeat or resemble each other
-anywhere in the same document share skip potentials (each to the next of its kind, so a token that repeats k
-times has k - 1 links). Loopy message passing spreads the labels of the base spans, which stay fixed, to tokens that no
-pattern takes by itself, such as a telephone number repeated without its '+'. All documents of a slice
+anywhere in the same document share skip potentials (two with each other, more of them with a hub that stands for what
+they name: k links for k repeats, any two of them two steps apart). A hub has the label of the base spans among its tokens, if
+these agree. Loopy message passing, until the messages of a document settle, spreads the labels of the base spans, which stay
+fixed, to tokens that no pattern takes by itself, such as a telephone number repeated without its '+'. All documents of a slice
 are passed at once as one graph.
 
 The field is trained piecewise: node weights by multinomial logistic regression, chain and skip potentials from how
@@ -28,7 +29,10 @@ from . import textops
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that the field is trained on at most.
 TRAIN_DOCUMENTS = 1000
-ROUNDS = 8
+#: Messages have settled when none of the document's moves by more in a round.
+SETTLED = 1e-3
+#: Rounds that a document may take besides two for each of its nodes, of which no path has more.
+SPARE_ROUNDS = 64
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -135,14 +139,19 @@ class Graph:
     chain: np.ndarray
     skip: np.ndarray
     place: list[tuple[int, int, int]]
+    #: Skip links that messages take: the hubs are numbered after the nodes.
+    links: np.ndarray
+    #: A hub's label, as in ``fixed``, and its document.
+    hubs: np.ndarray
+    hub_rows: np.ndarray
 
 
 def graph(texts: list[str], spans: list[list[Span]]) -> Graph:
     """Nodes of several documents and their links; ``fixed`` is a node's label (0: none, 1 + kind) or -1."""
-    features, fixed, chain, skip, place = [], [], [], [], []
+    features, fixed, chain, skip, place, groups = [], [], [], [], [], []
     for row, (text, found) in enumerate(zip(texts, spans, strict=True)):
         by_start = sorted((a, b, k) for k, a, b in found)
-        last: dict[str, int] = {}
+        alike: dict[str, list[int]] = {}
         k, before, before_end, before_node = 0, "", -9, -1
         for m in _NODE.finditer(text):
             a, b = m.span()
@@ -157,12 +166,23 @@ def graph(texts: list[str], spans: list[list[Span]]) -> Graph:
             if a - before_end <= 1:
                 chain.append((before_node, node))
             if like := _likeness(token):
-                if like in last:
-                    skip.append((last[like], node))
-                last[like] = node
+                own = alike.setdefault(like, [])
+                if own:
+                    skip.append((own[-1], node))
+                own.append(node)
             before, before_end, before_node = token, b, node
+        groups += [(row, own) for own in alike.values() if len(own) > 1]
+    links, hubs, hub_rows = [], [], []
+    for row, own in groups:
+        if len(own) == 2:
+            links.append((own[0], own[1]))
+            continue
+        known = {fixed[k] for k in own if fixed[k] >= 0}
+        links += [(k, len(fixed) + len(hubs)) for k in own]
+        hubs.append(known.pop() if len(known) == 1 else -1)
+        hub_rows.append(row)
     pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
-    return Graph(np.array(features).reshape(-1, FEATURES), np.array(fixed, np.int64), pairs(chain), pairs(skip), place)
+    return Graph(np.array(features).reshape(-1, FEATURES), np.array(fixed, np.int64), pairs(chain), pairs(skip), place, pairs(links), np.array(hubs, np.int64), np.array(hub_rows, np.int64))
 
 
 @dataclass
@@ -172,29 +192,41 @@ class Field:
     skip: np.ndarray
 
     def beliefs(self, g: Graph) -> np.ndarray:
-        """Posterior of each node's label by sum-product in log space, ``ROUNDS`` rounds."""
+        """Posterior of each node's label by sum-product in log space; each document's messages go on until they settle."""
         labels = len(KINDS) + 1
-        local = g.features @ self.node
-        held = g.fixed >= 0
+        nodes = len(g.fixed)
+        fixed = np.concatenate((g.fixed, g.hubs))
+        local = np.concatenate((g.features @ self.node, np.zeros((len(g.hubs), labels))))
+        held = fixed >= 0
         local[held] = -50.0
-        local[held, g.fixed[held]] = 50.0
-        edges = np.concatenate((g.chain, g.skip))
+        local[held, fixed[held]] = 50.0
+        edges = np.concatenate((g.chain, g.links))
         if len(edges):
-            table = np.concatenate((np.repeat(self.chain[None], len(g.chain), 0), np.repeat(self.skip[None], len(g.skip), 0)))
+            table = np.concatenate((np.repeat(self.chain[None], len(g.chain), 0), np.repeat(self.skip[None], len(g.links), 0)))
             source = np.concatenate((edges[:, 0], edges[:, 1]))
             target = np.concatenate((edges[:, 1], edges[:, 0]))
             table = np.concatenate((table, table.transpose(0, 2, 1)))
             back = np.concatenate((np.arange(len(edges)) + len(edges), np.arange(len(edges))))
             message = np.zeros((len(source), labels))
-            for _ in range(ROUNDS):
+            row = np.concatenate((np.array([r for r, _, _ in g.place], np.int64), g.hub_rows))
+            most = SPARE_ROUNDS + 2 * np.bincount(row)
+            row = row[source]
+            live, turn = np.arange(len(source)), 0
+            while len(live):
+                turn += 1
                 total = local.copy()
-                np.add.at(total, target, message)
-                out = (total[source] - message[back])[:, :, None] + table
+                np.add.at(total, target[live], message[live])
+                out = (total[source[live]] - message[back[live]])[:, :, None] + table[live]
                 top = out.max(1)
                 new = top + np.log(np.exp(out - top[:, None, :]).sum(1))
                 new -= new.max(1, keepdims=True)
-                message = 0.5 * message + 0.5 * new
+                new = 0.5 * message[live] + 0.5 * new
+                moved = np.zeros(len(most))
+                np.maximum.at(moved, row[live], np.abs(new - message[live]).max(1))
+                message[live] = new
+                live = live[((moved > SETTLED) & (turn < most))[row[live]]]
             np.add.at(local, target, message)
+        local = local[:nodes]
         local -= local.max(1, keepdims=True)
         p = np.exp(local)
         return p / p.sum(1, keepdims=True)

@@ -93,3 +93,15 @@ def test_field_applies_to_documents_without_a_base_span(spark):
     f = frame(spark, [(1, "ask (743)5553824 now", None, None, 20), (2, "nothing", None, None, 7)])
     assert {(r["doc_id"], r["spans"], r["n_added"]) for r in pii.find(f, field).collect()} == {(1, "phone:4:16", 1), (2, "", 0)}
     assert {r["text"] for r in pii.mask(f, field).collect()} == {"ask [PHONE] now", "nothing"}
+
+
+def test_labels_reach_far_repeats_and_far_neighbours():
+    bias = np.zeros((pii.FEATURES, 5))
+    bias[0, 0] = 3.0
+    skip = pii.Field(bias, np.zeros((5, 5)), 6 * np.eye(5))
+    text = "call +1 (743) 555-3824" + " or 555-3824" * 30
+    assert len(pii.added_spans([text], [pii.base_spans(text)], skip)[0]) == 30
+    chain = pii.Field(np.zeros((pii.FEATURES, 5)), 6 * np.eye(5), np.zeros((5, 5)))
+    text = " ".join(["a@b.co", *(str(1000000 + k) for k in range(30))])
+    assert pii.base_spans(text) == [(0, 0, 6)]
+    assert pii.added_spans([text], [pii.base_spans(text)], chain)[0] == [(0, 7, len(text))]
