@@ -93,10 +93,22 @@ def normal_bayes(frame: DataFrame, features: str, label: str, ridge: float = 1e-
         raise ValueError("too many dimensions for a covariance in the driver")
     x = arrays.doubles(F.col(features))
     means = {r[label]: (r["n"], np.array(r["m"].toArray())) for r in v.groupBy(label).agg(F.count("*").alias("n"), Summarizer.mean(F.col("_v")).alias("m")).collect()}
-    cells = v.select(label, F.posexplode(x).alias("i", "a"), x.alias("x")).select(label, "i", F.posexplode("x").alias("j", "b"), "a").where("i <= j").groupBy(label, "i", "j").agg(F.avg(F.col("a") * F.col("b")).alias("ab"))
+
+    def moments(batches):
+        sums: dict = {}
+        for batch in batches:
+            for k, own in batch.groupby("k")["x"]:
+                rows = np.stack(own.to_numpy()).astype(float)
+                sums[k] = sums.get(k, 0.0) + rows.T @ rows
+        for k, m in sums.items():
+            yield pd.DataFrame({"k": [k] * dims, "i": range(dims), "row": [m[i, i:] for i in range(dims)]})
+
+    kind = frame.schema[label].dataType.simpleString()
+    cells = v.select(F.col(label).alias("k"), x.alias("x")).mapInPandas(moments, f"k {kind}, i int, row array<double>").select("k", "i", F.posexplode("row").alias("j", "ab"))
     cov = {k: np.zeros((dims, dims)) for k in means}
-    for r in cells.collect():
-        cov[r[label]][r["i"], r["j"]] = cov[r[label]][r["j"], r["i"]] = r["ab"]
+    for r in cells.groupBy("k", "i", "j").agg(F.sum("ab").alias("ab")).collect():
+        i, j = r["i"], r["i"] + r["j"]
+        cov[r["k"]][i, j] = cov[r["k"]][j, i] = r["ab"] / means[r["k"]][0]
     total = sum(n for n, _ in means.values())
     names, models = [], []
     for k, (n, m) in sorted(means.items()):

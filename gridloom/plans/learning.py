@@ -54,8 +54,7 @@ def vector_classifier(spark, sf):
 
 @query()
 def normal_bayes_classifier(spark, sf):
-    e = table(spark, sf, "embeddings").withColumn("f", F.slice("embedding", 1, 12))
-    return L.normal_bayes(e, "f", "label").select("vec_id", "label", "predicted")
+    return L.normal_bayes(table(spark, sf, "embeddings"), "embedding", "label").select("vec_id", "label", "predicted")
 
 
 @query()

@@ -125,3 +125,22 @@ def test_gaussian_classes_are_told_apart(spark):
     assert learning.normal_bayes(f, "f", "lab").where("predicted <> lab").count() <= 2
     assert learning.virtual_dimension(f, "f") >= 1
     assert learning.train_som(np.array([r[0] for r in rows]), 2, 2).shape == (4, 2)
+
+
+def test_normal_bayes_query_uses_whole_vectors(spark):
+    import numpy as np
+
+    from gridloom.plans import learning
+
+    from .conftest import SF
+
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").where("label is not null").collect()
+    x, y = np.array([r["embedding"] for r in rows], float), np.array([r["label"] for r in rows])
+    scores = []
+    for k in sorted(set(y)):
+        own = x[y == k]
+        c, d = np.cov(own.T, bias=True) + 1e-6 * np.eye(x.shape[1]), x - own.mean(0)
+        scores.append(np.log(len(own) / len(x)) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * np.einsum("ni,ij,nj->n", d, np.linalg.inv(c), d))
+    want = np.array(sorted(set(y)))[np.argmax(scores, 0)]
+    got = {r["vec_id"]: r["predicted"] for r in learning.normal_bayes_classifier(spark, SF).collect()}
+    assert got == {r["vec_id"]: int(k) for r, k in zip(rows, want, strict=True)}
