@@ -12,9 +12,21 @@ from pyspark.sql import functions as F
 def _folder(frame: DataFrame) -> str:
     spark = frame.sparkSession
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{(base or 'file://' + tempfile.mkdtemp(prefix='gridloom-')).rstrip('/')}/graph-{uuid.uuid4().hex}"
 
 
+def dropped(*frames: DataFrame) -> None:
+    """Deletes tables that ``saved`` has written and nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+            if "/graph-" in path:
+                where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def saved(frame: DataFrame) -> DataFrame:
     """A table in the session's shared checkpoint folder, which cuts the lineage of a loop."""
     path = _folder(frame)
@@ -38,59 +50,153 @@ def grid_edges(cells: DataFrame, same: Column, width: int, eight: bool = False)
 
 def components(nodes: DataFrame, edges: DataFrame, longest: int = 100) -> DataFrame:
     """``node, label``: the smallest node that links reach. Labels hop along links and along labels, so the rounds grow
-    with the logarithm of a component's diameter; each round is a table in the shared folder."""
+    with the logarithm of a component's diameter; each round is a table in the shared folder, and the round before it goes."""
     both = saved(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = saved(nodes.select("node", F.col("node").alias("label")))
     for _ in range(longest):
         low = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("low"))
-        new = labels.join(low, "node", "left").select("node", F.least("label", F.coalesce("low", "label")).alias("label"))
+        new = labels.join(low, "node", "left").select("node", F.least("label", F.coalesce("low", "label")).alias("label"), F.col("label").alias("before"))
         of = new.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = saved(new.join(of, "label", "left").select("node", F.coalesce("next", "label").alias("label")))
-        changed = new.join(labels.withColumnRenamed("label", "before"), "node").where("label <> before").limit(1).count()
-        labels = new
+        new = saved(new.join(of, "label", "left").select("node", F.coalesce("next", "label").alias("label"), "before"))
+        changed = new.where("label <> before").limit(1).count()
+        dropped(labels)
+        labels = new.drop("before")
         if not changed:
+            dropped(both)
             return labels
     raise RuntimeError("components did not settle")
 
 
-def spring_cost(x: str, y: str, bands: list[str]) -> Column:
-    """Euclidean distance of two regions' means."""
-    return F.sqrt(sum((F.pow(F.col(f"{x}.{b}") - F.col(f"{y}.{b}"), 2) for b in bands), F.lit(0.0)))
+def pruned_edges(edges: DataFrame, saliency: float) -> DataFrame:
+    """Of each segment's (segment, neighbour, height, low) edges, those up to and with the first that rises above low by more than the saliency."""
+    w = Window.partitionBy("segment").orderBy("height", "neighbour")
+    over = (F.col("height") - F.col("low") > saliency).cast("int")
+    earlier = F.coalesce(F.sum(over).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return edges.withColumn("_n", earlier).where("_n = 0").drop("_n")
+
+
+# Regions. A region has a ``node`` (its first cell), ``area``, ``perimeter``, the box ``r0, r1, c0, c1`` of its cells, and for each
+# band k the sum ``s<k>`` and the sum of squares ``q<k>``. An edge (a, b), a < b, has the length ``boundary`` of the common border.
+
+
+def cell_regions(cells: DataFrame, bands: list[str], width: int) -> tuple[DataFrame, DataFrame]:
+    """Every cell as a region of its own, and the edges of cells that share a side."""
+    one = lambda x: F.lit(x).cast("long")
+    node = F.col("row").cast("long") * width + F.col("col")
+    x = [F.col(b).cast("double") for b in bands]
+    nodes = cells.select(node.alias("node"), one(1).alias("area"), one(4).alias("perimeter"), *(F.col(c).cast("long").alias(n) for c, n in (("row", "r0"), ("row", "r1"), ("col", "c0"), ("col", "c1"))), *(v.alias(f"s{k}") for k, v in enumerate(x)), *((v * v).alias(f"q{k}") for k, v in enumerate(x)))
+    return nodes, grid_edges(cells, F.lit(True), width).withColumn("boundary", one(1))
+
+
+def label_regions(cells: DataFrame, label: str, bands: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The regions of a labelled grid (``node`` is the label, a number) with their edges; perimeters include the grid's border."""
+    x = [F.col(b).cast("double") for b in bands]
+    nodes = cells.groupBy(F.col(label).cast("long").alias("node")).agg(F.count("*").alias("area"), *(f(F.col(c).cast("long")).alias(n) for f, c, n in ((F.min, "row", "r0"), (F.max, "row", "r1"), (F.min, "col", "c0"), (F.max, "col", "c1"))), *(F.sum(v).alias(f"s{k}") for k, v in enumerate(x)), *(F.sum(v * v).alias(f"q{k}") for k, v in enumerate(x)))
+    side = cells.select("row", "col", F.col(label).cast("long").alias("l"))
+    step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 1), (1, 0))]))
+    other = side.select(F.col("row").alias("_r"), F.col("col").alias("_c"), F.col("l").alias("m"))
+    met = side.withColumn("_s", step).select("l", (F.col("row") + F.col("_s.i")).alias("_r"), (F.col("col") + F.col("_s.j")).alias("_c")).join(other, ["_r", "_c"])
+    edges = met.where("l <> m").groupBy(F.least("l", "m").alias("a"), F.greatest("l", "m").alias("b")).agg(F.count("*").alias("boundary"))
+    inner = met.where("l = m").groupBy(F.col("l").alias("node")).agg(F.count("*").alias("_inner"))
+    nodes = nodes.join(inner, "node", "left").withColumn("perimeter", 4 * F.col("area") - 2 * F.coalesce("_inner", F.lit(0))).drop("_inner")
+    return nodes, edges
+
+
+def _bands(nodes: DataFrame) -> list[int]:
+    return [k for k in range(len(nodes.columns)) if f"s{k}" in nodes.columns]
+
+
+def _spread(s: Column, q: Column, n: Column) -> Column:
+    """Standard deviation over n from a sum and a sum of squares."""
+    return F.sqrt(F.greatest(F.lit(0.0), q / n - (s / n) * (s / n)))
 
 
-def merge_round(nodes: DataFrame, edges: DataFrame, bands: list[str], threshold: float) -> tuple[DataFrame, DataFrame]:
+def spring(bands: list[int]) -> Column:
+    """Euclidean distance of two regions' means (columns ``x.*`` and ``y.*``)."""
+    mean = lambda r, k: F.col(f"{r}.s{k}") / F.col(f"{r}.area")
+    return F.sqrt(sum(((mean("x", k) - mean("y", k)) * (mean("x", k) - mean("y", k)) for k in bands), F.lit(0.0)))
+
+
+def baatz(bands: list[int], colour_weight: float = 0.7, compactness_weight: float = 0.3) -> Column:
+    """Growth of heterogeneity by Baatz and Schaepe: of the bands' deviations, and of compactness and smoothness of the outline."""
+    n1, n2 = F.col("x.area"), F.col("y.area")
+    n = n1 + n2
+    colour = F.lit(0.0)
+    for k in bands:
+        (s1, q1), (s2, q2) = ((F.col(f"{r}.s{k}"), F.col(f"{r}.q{k}")) for r in "xy")
+        colour = colour + n * _spread(s1 + s2, q1 + q2, n) - n1 * _spread(s1, q1, n1) - n2 * _spread(s2, q2, n2)
+    l1, l2 = F.col("x.perimeter"), F.col("y.perimeter")
+    l = l1 + l2 - 2 * F.col("boundary")
+    box = lambda r0, r1, c0, c1: 2 * (r1 - r0 + 1 + c1 - c0 + 1)
+    sides = [[F.col(f"{r}.{c}") for c in ("r0", "r1", "c0", "c1")] for r in "xy"]
+    b1, b2 = (box(*s) for s in sides)
+    b = box(*(f(p, q) for f, p, q in zip((F.least, F.greatest) * 2, *sides, strict=True)))
+    compact = l * F.sqrt(n) - l1 * F.sqrt(n1) - l2 * F.sqrt(n2)
+    smooth = n * l / b - n1 * l1 / b1 - n2 * l2 / b2
+    return F.lit(colour_weight) * colour + F.lit(1 - colour_weight) * (F.lit(compactness_weight) * compact + F.lit(1 - compactness_weight) * smooth)
+
+
+def full_lambda(bands: list[int]) -> Column:
+    """The full lambda schedule: squared distance of means, weighted by the areas, over the length of the common border."""
+    d = spring(bands)
+    return F.col("x.area") * F.col("y.area") / (F.col("x.area") + F.col("y.area")) * d * d / F.col("boundary")
+
+
+def _merged(nodes: DataFrame, edges: DataFrame, to: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Regions and edges after the regions ``old`` have become ``new``; borders inside a region go."""
+    ks = _bands(nodes)
+    at = lambda f, c: f.join(to.select(F.col("old").alias(c), F.col("new").alias("_new")), c, "left").withColumn(c, F.coalesce("_new", c)).drop("_new")
+    inside = at(at(edges, "a"), "b")
+    gone = inside.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("boundary").alias("_gone"))
+    grown = at(nodes, "node").groupBy("node").agg(F.sum("area").alias("area"), F.sum("perimeter").alias("perimeter"), F.min("r0").alias("r0"), F.max("r1").alias("r1"), F.min("c0").alias("c0"), F.max("c1").alias("c1"), *(F.sum(f"{p}{k}").alias(f"{p}{k}") for p in "sq" for k in ks))
+    grown = grown.join(gone, "node", "left").withColumn("perimeter", F.col("perimeter") - 2 * F.coalesce("_gone", F.lit(0))).drop("_gone")
+    left = inside.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("boundary").alias("boundary"))
+    return grown, left
+
+
+def merge_round(nodes: DataFrame, edges: DataFrame, cost, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Merges every pair of regions that are each other's cheapest neighbour below the threshold.
 
-    ``nodes (node, area, *bands)`` and ``edges (a, b)``; a merged region keeps the smaller name, the summed area and
-    the means weighted by area. Ties go to the smaller neighbour, so the round has one outcome.
+    ``cost`` is one of ``spring``, ``baatz`` and ``full_lambda``. A merged region keeps the smaller name. Costs are compared
+    to nine places and ties go to the smaller neighbour, so the round has one outcome.
     """
-    cost = edges.join(nodes.alias("x"), F.col("a") == F.col("x.node")).join(nodes.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", spring_cost("x", "y", bands).alias("cost"))
-    both = cost.union(cost.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost"))
+    priced = edges.join(nodes.alias("x"), F.col("a") == F.col("x.node")).join(nodes.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", F.round(cost(_bands(nodes)), 9).alias("cost"))
+    both = priced.union(priced.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost"))
     best = both.groupBy("a").agg(F.min(F.struct("cost", "b")).alias("m")).select("a", F.col("m.b").alias("b"), F.col("m.cost").alias("cost"))
     back = best.select(F.col("a").alias("b"), F.col("b").alias("a"))
     pairs = best.join(back, ["a", "b"]).where((F.col("a") < F.col("b")) & (F.col("cost") < threshold))
-    to = pairs.select(F.col("b").alias("old"), F.col("a").alias("new"))
-    renamed = lambda f, c: f.join(to.select(F.col("old").alias(c), "new"), c, "left").withColumn(c, F.coalesce("new", c)).drop("new")
-    weighted = [(F.sum(F.col(b) * F.col("area")) / F.sum("area")).alias(b) for b in bands]
-    merged = renamed(nodes, "node").groupBy("node").agg(F.sum("area").alias("area"), *weighted)
-    left = renamed(renamed(edges, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return merged, left
+    return _merged(nodes, edges, pairs.select(F.col("b").alias("old"), F.col("a").alias("new")))
 
 
-def merge_regions(nodes: DataFrame, edges: DataFrame, bands: list[str], threshold: float, rounds: int = 30) -> DataFrame:
-    """Rounds of mutual merging until no edge is cheap enough."""
+def merge_regions(nodes: DataFrame, edges: DataFrame, cost, threshold: float, rounds: int = 1000) -> DataFrame:
+    """Rounds of mutual merging until no edge is cheap enough; raises if ``rounds`` don't suffice."""
     n = nodes.count()
     for _ in range(rounds):
-        nodes, edges = (saved(f) for f in merge_round(nodes, edges, bands, threshold))
-        n, before = nodes.count(), n
-        if n == before:
-            break
-    return nodes
+        before = nodes, edges
+        nodes, edges = (saved(f) for f in merge_round(nodes, edges, cost, threshold))
+        dropped(*before)
+        n, was = nodes.count(), n
+        if n == was:
+            return nodes
+    raise RuntimeError(f"regions still merge after {rounds} rounds")
 
 
-def pruned_edges(edges: DataFrame, saliency: float) -> DataFrame:
-    """Of each segment's (segment, neighbour, height, low) edges, those up to and with the first that rises above low by more than the saliency."""
-    w = Window.partitionBy("segment").orderBy("height", "neighbour")
-    over = (F.col("height") - F.col("low") > saliency).cast("int")
-    earlier = F.coalesce(F.sum(over).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return edges.withColumn("_n", earlier).where("_n = 0").drop("_n")
+def small_regions_absorbed(nodes: DataFrame, edges: DataFrame, least: int, rounds: int = 100) -> tuple[DataFrame, DataFrame]:
+    """``(nodes, names)`` when no region below ``least`` cells has a neighbour left; ``names (node, label)`` of all first regions.
+
+    In each round every such region goes with the neighbour whose means are nearest (to nine places, ties to the smallest
+    name); regions that choose each other in a ring or a row become one, with the smallest name.
+    """
+    names = nodes.select("node", F.col("node").alias("label"))
+    for _ in range(rounds):
+        small = nodes.where(F.col("area") < least)
+        priced = edges.join(nodes.alias("x"), F.col("a") == F.col("x.node")).join(nodes.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", F.round(spring(_bands(nodes)), 9).alias("cost"))
+        both = priced.union(priced.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost")).join(small.select(F.col("node").alias("a")), "a")
+        links = saved(both.groupBy("a").agg(F.min(F.struct("cost", "b")).alias("m")).select("a", F.col("m.b").alias("b")))
+        if not links.limit(1).count():
+            return nodes, names
+        ends = links.select("a").union(links.select("b")).distinct().withColumnRenamed("a", "node")
+        to = components(ends, links).select(F.col("node").alias("old"), F.col("label").alias("new"))
+        nodes, edges = (saved(f) for f in _merged(nodes, edges, to))
+        names = saved(names.join(to, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label")))
+    raise RuntimeError(f"small regions are left after {rounds} rounds")

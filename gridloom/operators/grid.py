@@ -1,7 +1,9 @@
 """Gridded observations: tables (row, col, value columns) and what their neighbourhoods give.
 
 Neighbourhoods are built by two window passes, along rows and then along columns, so that a stencil of any radius costs two
-shuffles of the grid and no join. Beyond the border the border's own cell is repeated. Grids are dense; ``filled`` makes them so.
+shuffles of the grid and no join. Rows and columns are cut into blocks that hold a margin of their neighbours, so a grid
+of any height or width is worked on in pieces of bounded length. Beyond the border the border's own cell is repeated.
+Grids are dense; ``filled`` makes them so.
 """
 
 from __future__ import annotations
@@ -14,10 +16,25 @@ from pyspark.sql import functions as F
 from ..functions import arrays
 
 
+#: Cells of a row or column that one window sorts, besides the margins.
+BLOCK = 1024
+
+
+def along(grid: DataFrame, place: str, radius: int, columns, *key: str) -> DataFrame:
+    """``grid`` with what ``columns(window)`` (a dict) makes of each cell's line, block by block with a margin of ``radius`` cells.
+
+    The window runs along ``place`` within ``key``; what it makes of a cell must not depend on cells further off than the radius.
+    """
+    if not 0 <= radius <= BLOCK:
+        raise ValueError(f"radius must lie in 0..{BLOCK}")
+    block = lambda d: F.floor((F.col(place) + F.lit(d)) / F.lit(BLOCK))
+    spread = grid.withColumn("_block", F.explode(F.array_distinct(F.array(block(0), block(-radius), block(radius)))))
+    w = Window.partitionBy(*key, "_block").orderBy(place)
+    return spread.withColumns(columns(w)).where(F.col("_block") == block(0)).drop("_block")
+
+
 def stencil(grid: DataFrame, value: str, radius: int = 1, name: str = "hood", key: tuple[str, ...] = ()) -> DataFrame:
     """``grid`` with an array of the (2 radius + 1)^2 cells around each cell, row by row from the upper left."""
-    along = Window.partitionBy(*key, "row").orderBy("col")
-    across = Window.partitionBy(*key, "col").orderBy("row")
     whole = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def line(x: Column, w) -> list[Column]:
@@ -25,8 +42,8 @@ def stencil(grid: DataFrame, value: str, radius: int = 1, name: str = "hood", ke
         back = [F.coalesce(F.lag(x, k).over(w), first) for k in range(radius, 0, -1)]
         return [*back, x, *(F.coalesce(F.lead(x, k).over(w), last) for k in range(1, radius + 1))]
 
-    one = grid.withColumn("_line", F.array(*line(F.col(value), along)))
-    return one.withColumn(name, F.concat(*line(F.col("_line"), across))).drop("_line")
+    one = along(grid, "col", radius, lambda w: {"_line": F.array(*line(F.col(value), w))}, *key, "row")
+    return along(one, "row", radius, lambda w: {name: F.concat(*line(F.col("_line"), w))}, *key, "col").drop("_line")
 
 
 def hood_mean(hood: Column) -> Column:

@@ -33,14 +33,16 @@ def disparity(left: DataFrame, right: DataFrame, value: str, reach: int) -> Data
     """
     both = left.select("row", "col", F.col(value).alias("_a")).join(right.select("row", "col", F.col(value).alias("_b")), ["row", "col"])
     both = G.stencil(G.stencil(both, "_a", name="_ha"), "_b", name="_hb")
-    w = Window.partitionBy("row").orderBy("col")
     cost = lambda other: arrays.total(F.zip_with("_ha", other, lambda x, y: (x - y) * (x - y)))
-    options = []
-    for s in range(-reach, reach + 1):
-        other = F.lead("_hb", s).over(w) if s > 0 else F.lag("_hb", -s).over(w) if s < 0 else F.col("_hb")
-        options.append(F.struct(cost(other).alias("cost"), F.lit(s).alias("shift")))
-    best = F.array_min(F.filter(F.array(*options), lambda x: x["cost"].isNotNull()))
-    return both.withColumn("_o", best).select("row", "col", F.col("_o.shift").alias("shift"), F.col("_o.cost").alias("cost"))
+
+    def best(w):
+        options = []
+        for k in range(-reach, reach + 1):
+            other = F.lead("_hb", k).over(w) if k > 0 else F.lag("_hb", -k).over(w) if k < 0 else F.col("_hb")
+            options.append(F.struct(cost(other).alias("cost"), F.lit(k).alias("shift")))
+        return {"_o": F.array_min(F.filter(F.array(*options), lambda x: x["cost"].isNotNull()))}
+
+    return G.along(both, "col", reach, best, "row").select("row", "col", F.col("_o.shift").alias("shift"), F.col("_o.cost").alias("cost"))
 
 
 def with_no_data(frame: DataFrame, value: str, marker: float, new: float | None = None) -> DataFrame:
@@ -182,30 +184,36 @@ def simplified(paths: DataFrame, points: str, tolerance: float) -> DataFrame:
 
 
 def mean_shift(cells: DataFrame, value: str, side: int, radius: int, bandwidth: float, rounds: int = 10) -> DataFrame:
-    """Joint spatial-range smoothing, tile by tile with a margin of ``radius * rounds`` cells, so tiles agree at their seams."""
-    margin = radius * rounds
-    near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    tile = lambda c, m: F.floor((F.col(c) + F.col(f"_m.{m}") * margin) / side).cast("int")
-    spread = cells.select("row", "col", F.col(value).cast("double").alias(value)).withColumn("_m", near).withColumn("_tr", tile("row", "i")).withColumn("_tc", tile("col", "j")).drop("_m").distinct()
+    """Joint spatial-range smoothing: each cell's window moves to the mean place and value of the cells within ``radius``
+    and ``bandwidth`` of it, ``rounds`` times, and the cell takes the value it ends at.
+
+    Tiles of ``side`` cells have a margin that no window leaves, so the result doesn't depend on the tiles.
+    """
+    margin = radius * (rounds + 1)
+    tiles = lambda c: F.sequence(F.floor((F.col(c) - margin) / side), F.floor((F.col(c) + margin) / side))
+    spread = cells.select("row", "col", F.col(value).cast("double").alias(value)).withColumn("_tr", F.explode(tiles("row"))).withColumn("_tc", F.explode(tiles("col")))
+    spread = spread.withColumn("_tr", F.col("_tr").cast("int")).withColumn("_tc", F.col("_tc").cast("int"))
 
     def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
         r, c, v = pdf["row"].to_numpy(), pdf["col"].to_numpy(), pdf[value].to_numpy()
-        top, left = r.min(), c.min()
-        image = np.full((r.max() - top + 1, c.max() - left + 1), np.nan)
+        own = (r // side == pdf["_tr"].iloc[0]) & (c // side == pdf["_tc"].iloc[0])
+        if not own.any():
+            return pd.DataFrame({"row": r[:0], "col": c[:0], value: v[:0]})
+        top, left = r.min() - radius, c.min() - radius
+        image = np.full((r.max() - top + 1 + radius, c.max() - left + 1 + radius), np.nan)
         image[r - top, c - left] = v
-        mode = image.copy()
-        wide = np.pad(image, radius, constant_values=np.nan)
+        y, x, mode = (r[own] - top).astype(float), (c[own] - left).astype(float), v[own].copy()
         for _ in range(rounds):
-            total, count = np.zeros_like(image), np.zeros_like(image)
-            for i in range(2 * radius + 1):
-                for j in range(2 * radius + 1):
-                    x = wide[i : i + image.shape[0], j : j + image.shape[1]]
-                    ok = np.abs(x - mode) <= bandwidth
-                    total += np.where(ok, x, 0)
-                    count += ok
-            mode = np.where(count > 0, total / np.maximum(count, 1), mode)
-        own = (r // side == pdf["_tr"].iloc[0]) & (c // side == pdf["_tc"].iloc[0])
-        return pd.DataFrame({"row": r[own], "col": c[own], value: mode[r - top, c - left][own]})
+            at_y, at_x = np.floor(y + 0.5).astype(int), np.floor(x + 0.5).astype(int)
+            sums, n = np.zeros((3, len(mode))), np.zeros(len(mode))
+            for i in range(-radius, radius + 1):
+                for j in range(-radius, radius + 1):
+                    near = image[at_y + i, at_x + j]
+                    ok = np.abs(near - mode) <= bandwidth
+                    sums += np.where(ok, (at_y + i, at_x + j, np.nan_to_num(near)), 0)
+                    n += ok
+            y, x, mode = (np.where(n > 0, s / np.maximum(n, 1), old) for s, old in zip(sums, (y, x, mode), strict=True))
+        return pd.DataFrame({"row": r[own], "col": c[own], value: mode})
 
     return spread.groupBy("_tr", "_tc").applyInPandas(smooth, f"row int, col int, {value} double")
 

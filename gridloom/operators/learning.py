@@ -1,5 +1,7 @@
 """Learning on feature vectors: nearest centroids, self-organising maps, clustering, components, classifiers."""
 
+from itertools import islice
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -10,8 +12,10 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import arrays
+from .graph import saved
 
 #: Most components that a covariance on the driver may have.
 DIMENSIONS = 4096
@@ -25,15 +29,30 @@ def centroids(frame: DataFrame, label: str, features: str) -> DataFrame:
     return pairs.select(label, F.transform("p", lambda e: e["x"]).alias("centroid"))
 
 
+#: Model vectors that are broadcast at a time.
+MODELS = 4096
+
+
 def nearest(frame: DataFrame, features: str, models: DataFrame, label: str, distance=arrays.euclidean) -> DataFrame:
     """Each row with the model vector (label, centroid) next to it, ties to the smallest label.
 
-    The models are gathered into one array on one row, whose size is that of the model table, not of the data.
+    The models come in blocks of ``MODELS``, each one row that is broadcast. Where there are several blocks, the best so far
+    is a table between two of them.
     """
-    every = models.agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("l"), "centroid"))).alias("models"))
-    x = arrays.doubles(F.col(features))
-    scored = F.array_min(F.transform("models", lambda m: F.struct(F.round(distance(x, m["centroid"]), 6).alias("d"), m["l"].alias("l"))))
-    return frame.crossJoin(F.broadcast(every)).withColumn("_best", scored).withColumn("nearest", F.col("_best.l")).withColumn("distance", F.col("_best.d")).drop("models", "_best")
+    x, names = arrays.doubles(F.col(features)), frame.columns
+    spark = frame.sparkSession
+    kind = models.select(F.col(label).alias("l"), arrays.doubles(F.col("centroid")).alias("centroid"))
+    best = F.lit(None).cast(f"struct<d: double, l: {dict(kind.dtypes)['l']}>")
+    out = frame.withColumn("_best", best)
+    rows, first = kind.orderBy("l").toLocalIterator(), True
+    while block := list(islice(rows, MODELS)):
+        if not first:
+            out = saved(out)
+        first = False
+        every = spark.createDataFrame([(block,)], T.StructType([T.StructField("_models", T.ArrayType(kind.schema))]))
+        scored = F.array_min(F.transform("_models", lambda m: F.struct(F.round(distance(x, m["centroid"]), 6).alias("d"), m["l"].alias("l"))))
+        out = out.crossJoin(F.broadcast(every)).withColumn("_new", scored).withColumn("_best", F.least("_best", "_new")).drop("_models", "_new")
+    return out.select(*names, F.col("_best.l").alias("nearest"), F.col("_best.d").alias("distance"))
 
 
 def winners(frame: DataFrame, features: str, neurons: list[list[float]]) -> Column:
@@ -127,16 +146,40 @@ def normal_bayes(frame: DataFrame, features: str, label: str, ridge: float = 1e-
     return v.withColumn("predicted", best(F.col(features))).drop("_v")
 
 
+def second_moments(frame: DataFrame, features: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, mean and matrix of second moments: each task adds up outer products, of which (dimensions^2) numbers are shuffled."""
+    first = frame.select(F.size(features)).first()
+    dims = first[0] if first else 0
+    if dims > DIMENSIONS:
+        raise ValueError("too many dimensions for a covariance in the driver")
+
+    def moments(batches):
+        n, total, square = 0, np.zeros(dims), np.zeros((dims, dims))
+        for batch in batches:
+            if len(batch):
+                rows = np.stack(batch["x"].to_numpy()).astype(float)
+                n, total, square = n + len(rows), total + rows.sum(0), square + rows.T @ rows
+        if n:
+            yield pd.DataFrame({"i": range(-1, dims), "row": [np.concatenate(([float(n)], total)), *square]})
+
+    parts = frame.where(F.col(features).isNotNull()).select(arrays.doubles(F.col(features)).alias("x")).mapInPandas(moments, "i int, row array<double>")
+    sums = parts.select("i", F.posexplode("row").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    n, mean, square = 0, np.zeros(dims), np.zeros((dims, dims))
+    for r in sums:
+        if r["i"] >= 0:
+            square[r["i"], r["j"]] = r["v"]
+        elif r["j"]:
+            mean[r["j"] - 1] = r["v"]
+        else:
+            n = int(r["v"])
+    return n, mean / max(1, n), square / max(1, n)
+
+
 def virtual_dimension(frame: DataFrame, features: str, false_alarm: float = 1e-3) -> int:
     """How many eigenvalues of the correlation exceed those of the covariance by more than noise explains."""
     from statistics import NormalDist
 
-    x = arrays.doubles(F.col(features))
-    dims, n = len(frame.select(features).first()[0]), frame.count()
-    pairs = frame.select(F.posexplode(x).alias("i", "a"), x.alias("x")).select("i", "a", F.posexplode("x").alias("j", "b"))
-    r, c = np.zeros((dims, dims)), np.zeros((dims, dims))
-    for row in pairs.groupBy("i", "j").agg(F.avg(F.col("a") * F.col("b")).alias("ab"), F.covar_pop("a", "b").alias("cov")).collect():
-        r[row["i"], row["j"]], c[row["i"], row["j"]] = row["ab"], row["cov"]
-    a, b = np.sort(np.linalg.eigvalsh(r))[::-1], np.sort(np.linalg.eigvalsh(c))[::-1]
-    spread = np.sqrt(2 * (a * a + b * b) / n)
+    n, mean, r = second_moments(frame, features)
+    a, b = (np.sort(np.linalg.eigvalsh(m))[::-1] for m in (r, r - np.outer(mean, mean)))
+    spread = np.sqrt(2 * (a * a + b * b) / max(1, n))
     return int((a - b > NormalDist().inv_cdf(1 - false_alarm) * spread).sum())

@@ -10,7 +10,7 @@ from ..operators import grid as G
 from ..operators import imagery as I
 from ..sources import names
 from . import query, raster, table
-from .raster import _GRID, _HOOD, COLS, ROWS
+from .raster import _GRID, _HOOD, COLS, TOP
 
 
 @query(f"WITH {_HOOD}, m AS (SELECT r, c, avg(x) AS m, max(x) FILTER (WHERE k = 4) AS x FROM h GROUP BY 1, 2) SELECT r AS \"row\", c AS col, round(CASE WHEN m = 0 THEN NULL ELSE g.v * x / m END, 6) AS v FROM m JOIN g USING (r, c)")
@@ -19,14 +19,14 @@ def pansharpening(spark, sf):
     return I.pansharpened(c.select("row", "col", "lo"), c.select("row", "col", "v"), "lo", "v").withColumn("v", F.round("v", 6))
 
 
-@query(f"""WITH {_GRID}, o AS (SELECT a.r, b.c FROM (SELECT unnest(range(20)) AS r) a CROSS JOIN (SELECT unnest(range(20)) AS c) b)
+@query(f"""WITH {_GRID}, o AS (SELECT a.r, b.c FROM (SELECT unnest(range(top + 1)) AS r FROM z) a CROSS JOIN (SELECT unnest(range(20)) AS c) b)
 SELECT o.r::INTEGER AS "row", o.c::INTEGER AS col, coalesce(g.lo, -1.0) AS lo FROM o LEFT JOIN g ON g.r = floor(0.5 * o.r + 0.1 * o.c + 2.5)::INTEGER AND g.c = floor(-0.1 * o.r + 0.75 * o.c - 0.5)::INTEGER""")
 def affine_resample(spark, sf):
-    return I.resampled(raster.cells(spark, sf), "lo", 20, 20, (0.5, 0.1, 2.0, -0.1, 0.75, -1.0), -1.0)
+    return I.resampled(raster.cells(spark, sf), "lo", raster.n_rows(spark, sf), 20, (0.5, 0.1, 2.0, -0.1, 0.75, -1.0), -1.0)
 
 
-@query(f"""WITH {_GRID}, x AS (SELECT * FROM (SELECT unnest(range(9)) AS k)), a AS (SELECT g.r, g.c, k, y.lo AS x FROM g CROSS JOIN x JOIN g y ON y.r = least({ROWS - 1}, greatest(0, g.r + k // 3 - 1)) AND y.c = least({COLS - 1}, greatest(0, g.c + k % 3 - 1))),
-b AS (SELECT g.r, g.c, k, y.v AS x FROM g CROSS JOIN x JOIN g y ON y.r = least({ROWS - 1}, greatest(0, g.r + k // 3 - 1)) AND y.c = least({COLS - 1}, greatest(0, g.c + k % 3 - 1))),
+@query(f"""WITH {_GRID}, x AS (SELECT * FROM (SELECT unnest(range(9)) AS k)), a AS (SELECT g.r, g.c, k, y.lo AS x FROM g CROSS JOIN x JOIN g y ON y.r = least({TOP}, greatest(0, g.r + k // 3 - 1)) AND y.c = least({COLS - 1}, greatest(0, g.c + k % 3 - 1))),
+b AS (SELECT g.r, g.c, k, y.v AS x FROM g CROSS JOIN x JOIN g y ON y.r = least({TOP}, greatest(0, g.r + k // 3 - 1)) AND y.c = least({COLS - 1}, greatest(0, g.c + k % 3 - 1))),
 d AS (SELECT a.r, a.c, s, sum((a.x - b.x) ** 2) AS cost FROM a CROSS JOIN (SELECT unnest([-2, -1, 0, 1, 2]) AS s) JOIN b ON b.r = a.r AND b.c = a.c + s AND b.k = a.k GROUP BY 1, 2, 3)
 SELECT r AS "row", c AS col, s::INTEGER AS shift, cost FROM d QUALIFY row_number() OVER (PARTITION BY r, c ORDER BY cost, s) = 1""")
 def block_matching(spark, sf):
@@ -45,14 +45,15 @@ def contrast_equalisation(spark, sf):
     return I.equalised(raster.cells(spark, sf), "lo", 0.0, 51.0, 16, 255).select("row", "col", "equalised")
 
 
-_ENDS = np.array([[1.0, 0.2, 0.1], [0.1, 1.0, 0.3]])
+#: Two end members, which must have as many bands as the vectors.
+_ENDS = np.array([[1.0 if k % 2 else 0.2 for k in range(64)], [(k + 1) / 64 for k in range(64)]])
 _INVERSE = np.linalg.pinv(_ENDS.T)
 
 
-@query("SELECT vec_id, " + ", ".join(f"round({' + '.join(f'embedding[{i + 1}]::DOUBLE * {float(w)!r}' for i, w in enumerate(row))}, 6) AS a{k}" for k, row in enumerate(_INVERSE)) + " FROM embeddings")
+@query("SELECT vec_id, " + ", ".join(f"round({' + '.join(f'embedding[{i + 1}]::DOUBLE * {float(w)!r}' for i, w in enumerate(row))}, 5) AS a{k}" for k, row in enumerate(_INVERSE)) + " FROM embeddings")
 def hyperspectral_unmixing(spark, sf):
-    x = F.slice(arrays.doubles(F.col("embedding")), 1, 3)
-    return table(spark, sf, "embeddings").select("vec_id", *[F.round(c, 6).alias(f"a{k}") for k, c in enumerate(I.linear_unmixing(x, _ENDS))])
+    x = arrays.doubles(F.col("embedding"))
+    return table(spark, sf, "embeddings").select("vec_id", *[F.round(c, 5).alias(f"a{k}") for k, c in enumerate(I.linear_unmixing(x, _ENDS))])
 
 
 @query("""WITH c AS (SELECT l_orderkey, l_partkey, l_linenumber, l_tax AS h, l_discount AS i, l_quantity / 50 AS v FROM lineitem)
@@ -98,14 +99,14 @@ def _diamonds(spark, sf):
     return table(spark, sf, "nation").select((k + 1).alias("zone"), F.array(at(x + 3.25, y), at(x + 6.25, y + 3.0), at(x + 3.25, y + 6.0), at(x + 0.25, y + 3.0)).alias("ring"))
 
 
-@query(f"""WITH {_GRID}, z AS (SELECT n_nationkey + 1 AS zone, (n_nationkey % 5) * 6.0 + 3.25 AS x, (n_nationkey // 5) * 5.0 + 3 AS y FROM nation)
-SELECT g.r AS "row", g.c AS col, coalesce(min(zone), 0)::INTEGER AS zone FROM g LEFT JOIN z ON abs(g.c + 0.5 - x) + abs(g.r + 0.5 - y) < 3 GROUP BY 1, 2""")
+@query(f"""WITH {_GRID}, d AS (SELECT n_nationkey + 1 AS zone, (n_nationkey % 5) * 6.0 + 3.25 AS x, (n_nationkey // 5) * 5.0 + 3 AS y FROM nation)
+SELECT g.r AS "row", g.c AS col, coalesce(min(zone), 0)::INTEGER AS zone FROM g LEFT JOIN d ON abs(g.c + 0.5 - x) + abs(g.r + 0.5 - y) < 3 GROUP BY 1, 2""")
 def rasterization(spark, sf):
     return I.rasterised(raster.cells(spark, sf), _diamonds(spark, sf), 6.0)
 
 
-@query(f"""WITH {_GRID}, z AS (SELECT n_nationkey + 1 AS zone, (n_nationkey % 5) * 6.0 + 3.25 AS x, (n_nationkey // 5) * 5.0 + 3 AS y FROM nation)
-SELECT zone, count(*) AS nb_cells, round(avg(lo), 6) AS mean, round(var_samp(lo), 6) AS variance FROM g JOIN z ON abs(g.c + 0.5 - x) + abs(g.r + 0.5 - y) < 3 GROUP BY 1""")
+@query(f"""WITH {_GRID}, d AS (SELECT n_nationkey + 1 AS zone, (n_nationkey % 5) * 6.0 + 3.25 AS x, (n_nationkey // 5) * 5.0 + 3 AS y FROM nation)
+SELECT zone, count(*) AS nb_cells, round(avg(lo), 6) AS mean, round(var_samp(lo), 6) AS variance FROM g JOIN d ON abs(g.c + 0.5 - x) + abs(g.r + 0.5 - y) < 3 GROUP BY 1""")
 def objects_radiometry(spark, sf):
     from ..operators import joins
 
@@ -151,7 +152,8 @@ def mean_shift_smoothing(spark, sf):
 
 @query()
 def fourier_transform(spark, sf):
-    return I.spectrum(raster.cells(spark, sf).withColumn("image", F.lit("a")), "image", "lo")
+    tiles = raster.cells(spark, sf).withColumn("image", F.expr("cast(row div 24 as int)")).withColumn("row", F.col("row") % 24)
+    return I.spectrum(tiles, "image", "lo")
 
 
 @query()

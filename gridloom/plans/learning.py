@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import arrays
@@ -28,13 +29,22 @@ def manhattan_nn(spark, sf):
     return L.nearest(e, "embedding", L.centroids(e, "label", "embedding"), "label", arrays.manhattan).select("vec_id", "nearest", F.round("distance", 5).alias("distance"))
 
 
-@query(f"""WITH e AS (SELECT vec_id, v[1:2] AS v FROM ({_V})), k AS (SELECT unnest(range(9)) AS i), n AS (SELECT i, [(i // 3 - 1) * 0.1, (i % 3 - 1) * 0.1] AS w FROM k), d AS (SELECT vec_id, i, round(list_distance(v, w), 6) AS d FROM e CROSS JOIN n),
-b AS (SELECT i FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d.d, i DESC) = 1) SELECT k.i::INTEGER AS neuron, count(b.i) AS n FROM k LEFT JOIN b USING (i) GROUP BY 1""")
+@query(f"""WITH {_C}, p AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS neuron, w FROM c), d AS (SELECT vec_id, neuron, round(list_distance(v, w), 6) AS d FROM e CROSS JOIN p),
+b AS (SELECT neuron FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d.d, neuron DESC) = 1) SELECT p.neuron::INTEGER AS neuron, count(b.neuron) AS n FROM p LEFT JOIN b USING (neuron) GROUP BY 1""")
 def som_winner_hist(spark, sf):
-    neurons = [[(i // 3 - 1) * 0.1, (i % 3 - 1) * 0.1] for i in range(9)]
-    e = table(spark, sf, "embeddings").withColumn("v", F.slice("embedding", 1, 2))
-    won = e.select(L.winners(e, "v", neurons).alias("neuron")).groupBy("neuron").agg(F.count("*").alias("n"))
-    return spark.range(9).select(F.col("id").cast("int").alias("neuron")).join(won, "neuron", "left").na.fill(0, ["n"])
+    e = table(spark, sf, "embeddings")
+    neurons = [r["centroid"] for r in L.centroids(e, "label", "embedding").orderBy("label").collect()]
+    won = e.select(L.winners(e, "embedding", neurons).alias("neuron")).groupBy("neuron").agg(F.count("*").alias("n"))
+    return spark.range(len(neurons)).select(F.col("id").cast("int").alias("neuron")).join(won, "neuron", "left").na.fill(0, ["n"])
+
+
+@query()
+def som_classification(spark, sf):
+    """A map trained on a bounded sample (200 vectors by a hash of the id), and every vector's winning neuron."""
+    e = table(spark, sf, "embeddings")
+    sample = e.orderBy(F.xxhash64("vec_id"), "vec_id").limit(200).select("embedding").collect()
+    neurons = L.train_som(np.array([r[0] for r in sample], float), 4, 4).tolist()
+    return e.select("vec_id", L.winners(e, "embedding", neurons).alias("neuron"))
 
 
 @query()

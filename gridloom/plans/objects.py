@@ -67,17 +67,18 @@ def sampling_rates(spark, sf):
     return sampling.class_rates(table(spark, sf, "embeddings"), "label", 25).withColumn("rate", F.round("rate", 6)).select("label", "n", "needed", "rate")
 
 
-@query("""WITH o AS (SELECT (l_orderkey % 12)::BIGINT AS a, (l_orderkey % 5)::BIGINT AS b, count(*) AS overlap FROM lineitem WHERE l_orderkey % 7 < 5 GROUP BY 1, 2)
+@query("""WITH o AS (SELECT (l_orderkey % 12)::BIGINT AS a, (l_orderkey % 5)::BIGINT AS b, count(*) AS overlap FROM lineitem GROUP BY 1, 2)
 SELECT a, b, overlap, (sum(overlap) OVER (PARTITION BY a))::BIGINT AS size_a, (sum(overlap) OVER (PARTITION BY b))::BIGINT AS size_b FROM o""")
 def region_overlap(spark, sf):
-    t = table(spark, sf, "lineitem").where("l_orderkey % 7 < 5").select((F.col("l_orderkey") % 12).alias("a"), (F.col("l_orderkey") % 5).alias("b"))
+    t = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 12).alias("a"), (F.col("l_orderkey") % 5).alias("b"))
     return stats.overlap_matrix(t, "a", "b")
 
 
 _LABELLED = f"WITH RECURSIVE {raster._GRID}, k AS (SELECT r, c, r::BIGINT * {raster.COLS} + c AS id, n % 2 AS lab FROM g), e AS (SELECT x.id AS a, y.id AS b FROM k x JOIN k y ON x.lab = y.lab AND ((y.r = x.r AND abs(y.c - x.c) = 1) OR (y.c = x.c AND abs(y.r - x.r) = 1)))"
 
 
-@query(f"{_LABELLED}, w AS (SELECT id, id AS low FROM k UNION SELECT e.b, w.low FROM w JOIN e ON e.a = w.id) SELECT k.r AS \"row\", k.c AS col, min(w.low) AS segment FROM w JOIN k ON k.id = w.id GROUP BY 1, 2")
+@query(f"""{_LABELLED}, w(id, low) USING KEY (id) AS (SELECT id, id FROM k UNION (SELECT e.b AS id, min(w.low) AS low FROM w JOIN e ON e.a = w.id JOIN recurring.w AS u ON u.id = e.b WHERE w.low < u.low GROUP BY e.b))
+SELECT k.r AS "row", k.c AS col, w.low AS segment FROM w JOIN k ON k.id = w.id""")
 def connected_components(spark, sf):
     c = raster.cells(spark, sf).withColumn("lab", F.col("n") % 2)
     nodes = graph.saved(c.select("row", "col", (F.col("row").cast("long") * raster.COLS + F.col("col")).alias("node"), "lab"))
@@ -85,26 +86,68 @@ def connected_components(spark, sf):
     return graph.components(nodes, edges).join(nodes, "node").select("row", "col", F.col("label").alias("segment"))
 
 
-_REGIONS = f"""{raster._GRID}, k AS (SELECT r::BIGINT * {raster.COLS} + c AS node, lo AS b0, n::DOUBLE AS b1 FROM g),
-e AS (SELECT x.node AS a, y.node AS b FROM k x JOIN k y ON (y.node = x.node + 1 AND y.node % {raster.COLS} <> 0) OR y.node = x.node + {raster.COLS}),
-q AS (SELECT e.a, e.b, sqrt((x.b0 - y.b0) ** 2 + (x.b1 - y.b1) ** 2) AS cost FROM e JOIN k x ON x.node = e.a JOIN k y ON y.node = e.b),
+def _one_round(cost: str, threshold: float) -> str:
+    """SQL of one round over single cells, of which two have a border of one side and, merged, six sides around them."""
+    return f"""WITH {raster._GRID}, k AS (SELECT r::BIGINT * {raster.COLS} + c AS node, lo AS b0, n::DOUBLE AS b1 FROM g),
+e AS (SELECT x.node AS a, y.node AS b FROM k x JOIN k y ON y.node = x.node + 1 AND y.node % {raster.COLS} <> 0 UNION ALL SELECT x.node, y.node FROM k x JOIN k y ON y.node = x.node + {raster.COLS}),
+q AS (SELECT e.a, e.b, round({cost}, 9) AS cost FROM e JOIN k x ON x.node = e.a JOIN k y ON y.node = e.b),
 s AS (SELECT a, b, cost FROM q UNION ALL SELECT b, a, cost FROM q), t AS (SELECT a, b, cost FROM s QUALIFY row_number() OVER (PARTITION BY a ORDER BY cost, b) = 1),
-m AS (SELECT t.a, t.b FROM t JOIN t u ON u.a = t.b AND u.b = t.a WHERE t.a < t.b AND t.cost < 6)"""
+m AS (SELECT t.a, t.b FROM t JOIN t u ON u.a = t.b AND u.b = t.a WHERE t.a < t.b AND t.cost < {threshold})
+SELECT coalesce(m.a, k.node) AS node, count(*) AS area, round(avg(b0), 6) AS b0, round(avg(b1), 6) AS b1 FROM k LEFT JOIN m ON m.b = k.node GROUP BY 1"""
 
 
-@query(f"WITH {_REGIONS} SELECT coalesce(m.a, k.node) AS node, count(*) AS area, round(avg(b0), 6) AS b0, round(avg(b1), 6) AS b1 FROM k LEFT JOIN m ON m.b = k.node GROUP BY 1")
+@query(_one_round("sqrt((x.b0 - y.b0) ** 2 + (x.b1 - y.b1) ** 2)", 6.0))
 def spring_merge_round(spark, sf):
-    c = raster.cells(spark, sf)
-    nodes = c.select((F.col("row").cast("long") * raster.COLS + F.col("col")).alias("node"), F.lit(1).cast("long").alias("area"), F.col("lo").alias("b0"), F.col("n").cast("double").alias("b1"))
-    merged, _ = graph.merge_round(nodes, graph.grid_edges(c, F.lit(True), raster.COLS), ["b0", "b1"], 6.0)
-    return merged.select("node", "area", F.round("b0", 6).alias("b0"), F.round("b1", 6).alias("b1"))
+    return _merged_once(spark, sf, graph.spring, 6.0)
+
+
+def _merged_once(spark, sf, cost, threshold):
+    nodes, edges = graph.cell_regions(raster.cells(spark, sf), ["lo", "n"], raster.COLS)
+    merged, _ = graph.merge_round(nodes, edges, cost, threshold)
+    return merged.select("node", "area", F.round(F.col("s0") / F.col("area"), 6).alias("b0"), F.round(F.col("s1") / F.col("area"), 6).alias("b1"))
+
+
+@query(_one_round("0.7 * (abs(x.b0 - y.b0) + abs(x.b1 - y.b1)) + 0.3 * (0.3 * (6 * sqrt(2) - 8) + 0.7 * 0)", 4.0))
+def baatz_merge_round(spark, sf):
+    return _merged_once(spark, sf, graph.baatz, 4.0)
+
+
+@query(_one_round("((x.b0 - y.b0) ** 2 + (x.b1 - y.b1) ** 2) / 2", 20.0))
+def full_lambda_merge_round(spark, sf):
+    return _merged_once(spark, sf, graph.full_lambda, 20.0)
 
 
 @query()
 def spring_segmentation(spark, sf):
-    c = raster.cells(spark, sf)
-    nodes = c.select((F.col("row").cast("long") * raster.COLS + F.col("col")).alias("node"), F.lit(1).cast("long").alias("area"), F.col("lo").alias("b0"), F.col("n").cast("double").alias("b1"))
-    return graph.merge_regions(nodes, graph.grid_edges(c, F.lit(True), raster.COLS), ["b0", "b1"], 6.0)
+    nodes, edges = graph.cell_regions(raster.cells(spark, sf), ["lo", "n"], raster.COLS)
+    return graph.merge_regions(nodes, edges, graph.spring, 6.0)
+
+
+_BLOCKS = f"{raster._GRID}, k AS (SELECT r, c, lo, ((r // 4) * 100 + c // 5 * 2 + CASE WHEN lo > 4 THEN 1 ELSE 0 END)::BIGINT AS l FROM g)"
+
+
+def _blocks(spark, sf):
+    """Cells with a label ``l``: blocks of 4 x 5 cells, each cut in two by value."""
+    lab = F.expr("row div 4") * 100 + F.expr("col div 5") * 2 + F.when(F.col("lo") > 4, 1).otherwise(0)
+    return raster.cells(spark, sf).select("row", "col", "lo", lab.cast("long").alias("l"))
+
+
+@query(f"""WITH {_BLOCKS}, p AS (SELECT x.l, y.l AS m FROM k x JOIN k y ON y.r = x.r AND y.c = x.c + 1 UNION ALL SELECT x.l, y.l FROM k x JOIN k y ON y.c = x.c AND y.r = x.r + 1),
+i AS (SELECT l, count(*) AS n FROM p WHERE l = m GROUP BY 1) SELECT l AS node, count(*) AS area, (4 * count(*) - 2 * coalesce(any_value(i.n), 0))::BIGINT AS perimeter, min(r)::BIGINT AS r0, max(r)::BIGINT AS r1, min(c)::BIGINT AS c0, max(c)::BIGINT AS c1 FROM k LEFT JOIN i USING (l) GROUP BY 1""")
+def region_outlines(spark, sf):
+    return graph.label_regions(_blocks(spark, sf), "l", ["lo"])[0].select("node", "area", "perimeter", "r0", "r1", "c0", "c1")
+
+
+@query(f"""WITH {_BLOCKS}, p AS (SELECT x.l, y.l AS m FROM k x JOIN k y ON y.r = x.r AND y.c = x.c + 1 UNION ALL SELECT x.l, y.l FROM k x JOIN k y ON y.c = x.c AND y.r = x.r + 1)
+SELECT least(l, m) AS a, greatest(l, m) AS b, count(*) AS boundary FROM p WHERE l <> m GROUP BY 1, 2""")
+def region_borders(spark, sf):
+    return graph.label_regions(_blocks(spark, sf), "l", ["lo"])[1]
+
+
+@query()
+def small_regions_converged(spark, sf):
+    nodes, edges = (graph.saved(f) for f in graph.label_regions(_blocks(spark, sf), "l", ["lo"]))
+    return graph.small_regions_absorbed(nodes, edges, 12)[1]
 
 
 @query("""WITH e AS (SELECT l_suppkey AS segment, l_partkey AS neighbour, max(l_quantity) AS height FROM lineitem GROUP BY 1, 2), f AS (SELECT *, min(height) OVER (PARTITION BY segment) AS low FROM e),

@@ -1,4 +1,7 @@
-"""Queries over a grid. Its cells are made of line items: row and column from the keys, values that no order of summing can change."""
+"""Queries over a grid that grows with the table: a row of cells for every ROW order keys, columns by part key.
+
+Its values are smallest and largest quantities and counts, which no order of summing can change.
+"""
 
 from __future__ import annotations
 
@@ -8,20 +11,30 @@ from ..operators import grid as G
 from ..operators import sampling, stats
 from . import query, table
 
-ROWS, COLS = 24, 30
+#: Order keys to a row of cells, and columns.
+ROW, COLS = 25, 30
+#: The last row, in SQL.
+TOP = "(SELECT top FROM z)"
 
-_GRID = f"""c AS (SELECT (l_orderkey % {ROWS})::INTEGER AS r, (l_partkey % {COLS})::INTEGER AS c, max(l_quantity) AS q, min(l_quantity) AS lo, count(*) AS n FROM lineitem GROUP BY 1, 2),
-g AS (SELECT a.r, b.c, coalesce(c.q, 0.0) AS v, coalesce(c.lo, 0.0) AS lo, coalesce(c.n, 0) AS n FROM (SELECT unnest(range({ROWS}))::INTEGER AS r) a CROSS JOIN (SELECT unnest(range({COLS}))::INTEGER AS c) b LEFT JOIN c ON c.r = a.r AND c.c = b.c)"""
+_GRID = f"""z AS (SELECT coalesce(max(l_orderkey) // {ROW}, -1)::INTEGER AS top FROM lineitem),
+c AS (SELECT (l_orderkey // {ROW})::INTEGER AS r, (l_partkey % {COLS})::INTEGER AS c, max(l_quantity) AS q, min(l_quantity) AS lo, count(*) AS n FROM lineitem GROUP BY 1, 2),
+g AS (SELECT a.r, b.c, coalesce(c.q, 0.0) AS v, coalesce(c.lo, 0.0) AS lo, coalesce(c.n, 0) AS n FROM (SELECT unnest(range(top + 1))::INTEGER AS r FROM z) a CROSS JOIN (SELECT unnest(range({COLS}))::INTEGER AS c) b LEFT JOIN c ON c.r = a.r AND c.c = b.c)"""
 _HOOD = f"""{_GRID},
 o AS (SELECT unnest(range(9)) AS k),
-h AS (SELECT g.r, g.c, o.k, x.lo AS x FROM g CROSS JOIN o JOIN g x ON x.r = least({ROWS - 1}, greatest(0, g.r + o.k // 3 - 1)) AND x.c = least({COLS - 1}, greatest(0, g.c + o.k % 3 - 1)))"""
+h AS (SELECT g.r, g.c, o.k, x.lo AS x FROM g CROSS JOIN o JOIN g x ON x.r = least({TOP}, greatest(0, g.r + o.k // 3 - 1)) AND x.c = least({COLS - 1}, greatest(0, g.c + o.k % 3 - 1)))"""
+
+
+def n_rows(spark, sf) -> int:
+    """Rows of the grid; 0 for an empty table."""
+    top = table(spark, sf, "lineitem").agg(F.max("l_orderkey")).first()[0]
+    return 0 if top is None else top // ROW + 1
 
 
 def cells(spark, sf):
     """(row, col, v, lo, n) of every cell."""
     t = table(spark, sf, "lineitem")
-    made = t.groupBy((F.col("l_orderkey") % ROWS).cast("int").alias("row"), (F.col("l_partkey") % COLS).cast("int").alias("col")).agg(F.max("l_quantity").alias("v"), F.min("l_quantity").alias("lo"), F.count("*").alias("n"))
-    return G.filled(made, ROWS, COLS, {"v": 0.0, "lo": 0.0, "n": 0})
+    made = t.groupBy(F.expr(f"cast(l_orderkey div {ROW} as int)").alias("row"), (F.col("l_partkey") % COLS).cast("int").alias("col")).agg(F.max("l_quantity").alias("v"), F.min("l_quantity").alias("lo"), F.count("*").alias("n"))
+    return G.filled(made, n_rows(spark, sf), COLS, {"v": 0.0, "lo": 0.0, "n": 0})
 
 
 @query(f"WITH {_HOOD} SELECT r AS \"row\", c AS col, round(avg(x), 6) AS mean, round(var_samp(x), 6) AS variance, list_sort(list(x))[5] AS median, sum(x * x) AS sum_of_squares, min(x) AS eroded, max(x) AS dilated FROM h GROUP BY 1, 2")
@@ -62,9 +75,9 @@ def majority_filter(spark, sf):
 
 
 @query(f"""WITH {_HOOD}, e AS (SELECT r, c, min(x) AS x FROM h GROUP BY 1, 2),
-op AS (SELECT e.r, e.c, max(y.x) AS opened FROM e CROSS JOIN (SELECT unnest(range(9)) AS k) o JOIN e y ON y.r = least({ROWS - 1}, greatest(0, e.r + o.k // 3 - 1)) AND y.c = least({COLS - 1}, greatest(0, e.c + o.k % 3 - 1)) GROUP BY 1, 2),
+op AS (SELECT e.r, e.c, max(y.x) AS opened FROM e CROSS JOIN (SELECT unnest(range(9)) AS k) o JOIN e y ON y.r = least({TOP}, greatest(0, e.r + o.k // 3 - 1)) AND y.c = least({COLS - 1}, greatest(0, e.c + o.k % 3 - 1)) GROUP BY 1, 2),
 d AS (SELECT r, c, max(x) AS x FROM h GROUP BY 1, 2),
-q AS (SELECT d.r, d.c, min(y.x) AS closed FROM d CROSS JOIN (SELECT unnest(range(9)) AS k) o JOIN d y ON y.r = least({ROWS - 1}, greatest(0, d.r + o.k // 3 - 1)) AND y.c = least({COLS - 1}, greatest(0, d.c + o.k % 3 - 1)) GROUP BY 1, 2)
+q AS (SELECT d.r, d.c, min(y.x) AS closed FROM d CROSS JOIN (SELECT unnest(range(9)) AS k) o JOIN d y ON y.r = least({TOP}, greatest(0, d.r + o.k // 3 - 1)) AND y.c = least({COLS - 1}, greatest(0, d.c + o.k % 3 - 1)) GROUP BY 1, 2)
 SELECT g.r AS "row", g.c AS col, opened, closed, CASE WHEN g.lo - opened > closed - g.lo THEN 'convex' WHEN g.lo - opened < closed - g.lo THEN 'concave' ELSE 'flat' END AS kind FROM g JOIN op USING (r, c) JOIN q USING (r, c)""")
 def morphological_classes(spark, sf):
     a = G.stencil(cells(spark, sf), "lo")

@@ -29,11 +29,9 @@ def point_density(spark, sf):
     return joins.density(_suppliers(spark, sf), _customers(spark, sf), 5.0).withColumn("density", F.round("density", 8))
 
 
-@query(f"WITH {_PLACES}, w AS (SELECT lid, 1 / greatest(sqrt((lx - rx) ** 2 + (ly - ry) ** 2), 1e-12) ** 2 AS w, c_acctbal AS v FROM s JOIN c ON (lx - rx) ** 2 + (ly - ry) ** 2 <= 25 AND (lx <> rx OR ly <> ry)) SELECT lid, round(sum(w * v) / sum(w), 4) AS c_acctbal, count(*) AS n FROM w GROUP BY 1")
+@query(f"WITH {_PLACES}, w AS (SELECT lid, 1 / greatest(sqrt((lx - rx) ** 2 + (ly - ry) ** 2), 1e-12) ** 2 AS w, c_acctbal AS v FROM s JOIN c ON (lx - rx) ** 2 + (ly - ry) ** 2 <= 25) SELECT lid, round(sum(w * v) / sum(w), 4) AS c_acctbal, count(*) AS n FROM w GROUP BY 1")
 def inverse_distance_grid(spark, sf):
-    near = joins.within_radius(_suppliers(spark, sf), _customers(spark, sf), 5.0).where("distance > 0")
-    w = 1 / F.pow(F.greatest("distance", F.lit(1e-12)), 2)
-    return near.groupBy("lid").agg(F.round(F.sum(w * F.col("c_acctbal")) / F.sum(w), 4).alias("c_acctbal"), F.count("*").alias("n"))
+    return joins.inverse_distance(_suppliers(spark, sf), _customers(spark, sf), "c_acctbal", 5.0).withColumn("c_acctbal", F.round("c_acctbal", 4))
 
 
 def _boxes(frame, key, a, b, w, prefix):

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from gridloom.operators import graph, joins, learning, sampling, stats
 from gridloom.operators import grid as G
 
+from .conftest import SF
+
 
 def image(spark, cells):
     rows = [(r, c, float(v)) for r, line in enumerate(cells) for c, v in enumerate(line)]
@@ -100,10 +102,129 @@ def test_components_against_union_find(spark):
     assert {r["node"]: r["label"] for r in got.collect()} == {x: find(x) for x in nodes}
 
 
+def regions(spark, rows, edges):
+    """Regions (node, area, mean) without outlines."""
+    made = [(n, a, 4, 0, 0, 0, 0, float(a * m), float(a * m * m)) for n, a, m in rows]
+    return spark.createDataFrame(made, "node long, area long, perimeter long, r0 long, r1 long, c0 long, c1 long, s0 double, q0 double"), spark.createDataFrame([(*e, 1) for e in edges], "a long, b long, boundary long")
+
+
 def test_region_merging_is_area_weighted(spark):
-    nodes = spark.createDataFrame([(1, 1, 0.0), (2, 3, 1.0), (3, 1, 50.0)], "node long, area long, m double")
-    edges = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
-    assert sorted(map(tuple, graph.merge_regions(nodes, edges, ["m"], 5.0).collect())) == [(1, 4, 0.75), (3, 1, 50.0)]
+    nodes, edges = regions(spark, [(1, 1, 0.0), (2, 3, 1.0), (3, 1, 50.0)], [(1, 2), (2, 3)])
+    got = graph.merge_regions(nodes, edges, graph.spring, 5.0).select("node", "area", F.col("s0") / F.col("area"))
+    assert sorted(map(tuple, got.collect())) == [(1, 4, 0.75), (3, 1, 50.0)]
+
+
+def test_unfinished_merging_raises(spark):
+    values = np.cumsum(np.arange(14.0)) / 50
+    nodes, edges = regions(spark, [(k, 1, v) for k, v in enumerate(values)], [(k, k + 1) for k in range(13)])
+    with pytest.raises(RuntimeError):
+        graph.merge_regions(nodes, edges, graph.spring, 5.0, rounds=3)
+    assert graph.merge_regions(nodes, edges, graph.spring, 5.0).count() == 1
+
+
+def outline(mask):
+    """Sides of a region's cells that no other cell of it shares."""
+    p = np.pad(mask, 1)
+    return sum((p & ~np.roll(p, k, axis)).sum() for axis in (0, 1) for k in (1, -1))
+
+
+@pytest.mark.parametrize("cost", ["spring", "baatz", "full_lambda"])
+def test_merging_keeps_outlines_and_follows_the_costs(spark, cost):
+    rng = np.random.default_rng(4)
+    cells = rng.integers(0, 9, (7, 9)).astype(float)
+    label, lab = np.arange(63).reshape(7, 9), np.arange(63).reshape(7, 9)
+    nodes, edges = graph.cell_regions(image(spark, cells), ["v"], 9)
+
+    def price(p, q):
+        m, n = label == p, label == q
+        a, b, u = cells[m], cells[n], cells[m | n]
+        if cost == "spring":
+            return abs(a.mean() - b.mean())
+        border = (outline(m) + outline(n) - outline(m | n)) / 2
+        if cost == "full_lambda":
+            return len(a) * len(b) / len(u) * (a.mean() - b.mean()) ** 2 / border
+        box = lambda x: 2 * sum(np.ptp(np.nonzero(x)[k]) + 1 for k in (0, 1))
+        colour = len(u) * u.std() - len(a) * a.std() - len(b) * b.std()
+        compact = sum(s * outline(x) * np.sqrt(x.sum()) for s, x in ((1, m | n), (-1, m), (-1, n)))
+        smooth = sum(s * outline(x) * x.sum() / box(x) for s, x in ((1, m | n), (-1, m), (-1, n)))
+        return 0.7 * colour + 0.3 * (0.3 * compact + 0.7 * smooth)
+
+    for _ in range(3):
+        near = {tuple(sorted((int(x), int(y)))) for s, t in ((label[1:], label[:-1]), (label[:, 1:], label[:, :-1])) for x, y in zip(s.ravel(), t.ravel(), strict=True) if x != y}
+        best = {}
+        for a, b in near:
+            c = round(float(price(a, b)), 9)
+            for x, y in ((a, b), (b, a)):
+                best[x] = min(best.get(x, (9e9, 0)), (c, y))
+        lab = label.copy()
+        for x, (c, y) in best.items():
+            if x < y and best[y][1] == x and c < 5.0:
+                lab[label == y] = x
+        label = lab
+        nodes, edges = (graph.saved(f) for f in graph.merge_round(nodes, edges, getattr(graph, cost), 5.0))
+        got = {r["node"]: (r["area"], r["perimeter"], round(r["s0"], 6)) for r in nodes.collect()}
+        assert got == {int(k): (int((label == k).sum()), int(outline(label == k)), round(float(cells[label == k].sum()), 6)) for k in np.unique(label)}
+
+
+def test_small_regions_are_absorbed(spark):
+    rng = np.random.default_rng(6)
+    cells, label = rng.integers(0, 50, (12, 12)).astype(float), np.repeat(np.repeat(rng.integers(0, 40, (4, 6)), 3, 0), 2, 1) * 7 + rng.integers(0, 2, (12, 12))
+    f = spark.createDataFrame([(r, c, float(cells[r, c]), int(label[r, c])) for r in range(12) for c in range(12)], "row int, col int, v double, l int")
+    nodes, names = graph.small_regions_absorbed(*(graph.saved(x) for x in graph.label_regions(f, "l", ["v"])), 10)
+    want = label.copy()
+    while True:
+        near = {(int(x), int(y)) for s, t in ((want[1:], want[:-1]), (want[:, 1:], want[:, :-1])) for x, y in [*zip(s.ravel(), t.ravel(), strict=True), *zip(t.ravel(), s.ravel(), strict=True)] if x != y}
+        mean = {int(k): cells[want == k].mean() for k in np.unique(want)}
+        choice = {}
+        for x, y in near:
+            if (want == x).sum() < 10:
+                choice[x] = min(choice.get(x, (9e9, 0)), (round(abs(mean[x] - mean[y]), 9), y))
+        if not choice:
+            break
+        root = {k: k for k in mean}
+        for x, (_, y) in choice.items():
+            p, q = sorted((root[x], root[y]))
+            root = {k: p if v == q else v for k, v in root.items()}
+        want = np.vectorize(root.get)(want)
+    of = {r["node"]: r["label"] for r in names.collect()}
+    assert np.array_equal(np.vectorize(of.get)(label), want) and nodes.count() == len(np.unique(want))
+
+
+def test_stencil_in_blocks(spark, monkeypatch):
+    cells = np.random.default_rng(5).integers(0, 99, (11, 14)).astype(float)
+    want = {(r["row"], r["col"]): r["hood"] for r in G.stencil(image(spark, cells), "v", 2).collect()}
+    monkeypatch.setattr(G, "BLOCK", 4)
+    got = G.stencil(image(spark, cells), "v", 2).collect()
+    assert len(got) == len(want) and {(r["row"], r["col"]): r["hood"] for r in got} == want
+
+
+def test_mean_shift_does_not_depend_on_tiles(spark):
+    cells = np.random.default_rng(7).integers(0, 9, (13, 17)).astype(float)
+    from gridloom.operators import imagery
+
+    one, *others = ({(r["row"], r["col"]): r["v"] for r in imagery.mean_shift(image(spark, cells), "v", side, 2, 3.0, 4).collect()} for side in (100, 3, 5))
+    assert len(one) == cells.size and all(o == pytest.approx(one) for o in others)
+
+
+def test_boxes_and_intervals_of_very_different_sizes(spark):
+    rng = np.random.default_rng(8)
+    size = lambda: 2.0 ** float(rng.integers(-3, 22))
+    a, b = ([(k, float(x), float(x) + size()) for k, x in enumerate(rng.integers(-1000, 1000, 40))] for _ in range(2))
+    got = [tuple(r) for r in joins.intervals_overlapping(spark.createDataFrame(a, "lid int, l0 double, l1 double"), spark.createDataFrame(b, "rid int, r0 double, r1 double"), 1.0).select("lid", "rid").collect()]
+    assert sorted(got) == sorted((i, j) for i, p, q in a for j, u, v in b if p <= v and u <= q)
+    box = lambda rows, n: spark.createDataFrame([(k, (p, q, p / 2, p / 2 + size())) for k, p, q in rows], f"{n}id int, {n}box struct<minx: double, maxx: double, miny: double, maxy: double>")
+    f, g = box(a, "l"), box(b, "r")
+    got = [tuple(r) for r in joins.envelopes_meeting(f, g, 1.0).select("lid", "rid").collect()]
+    want = [(x["lid"], y["rid"]) for x in f.collect() for y in g.collect() if x["lbox"]["minx"] <= y["rbox"]["maxx"] and y["rbox"]["minx"] <= x["lbox"]["maxx"] and x["lbox"]["miny"] <= y["rbox"]["maxy"] and y["rbox"]["miny"] <= x["lbox"]["maxy"]]
+    assert sorted(got) == sorted(want)
+
+
+def test_nearest_model_in_blocks(spark, monkeypatch):
+    e = spark.read.parquet(f"{SF}/embeddings.parquet")
+    models = learning.centroids(e, "label", "embedding")
+    want = sorted(map(tuple, learning.nearest(e, "embedding", models, "label").select("vec_id", "nearest", "distance").collect()))
+    monkeypatch.setattr(learning, "MODELS", 3)
+    assert sorted(map(tuple, learning.nearest(e, "embedding", models, "label").select("vec_id", "nearest", "distance").collect())) == want
 
 
 def test_watershed_keeps_the_first_edge_beyond(spark):
