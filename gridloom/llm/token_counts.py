@@ -8,15 +8,18 @@ lengths, then lengths in a block), so no task holds all lengths.
 from __future__ import annotations
 
 import base64
+import os
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops
+from .scratch import Scratch
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Lengths to a block of the two-level sums.
@@ -40,17 +43,24 @@ def encoded_length(text: str | None, tokenizer: str = TOKENIZER) -> int:
 
 
 def histogram(documents: DataFrame, tokenizer: str = TOKENIZER, text_column: str = "text") -> DataFrame:
-    """``length, n_docs`` for each encoded length that occurs. Every row counts, null texts with length 0."""
+    """``length, n_docs`` for each encoded length that occurs. Every row counts, null texts with length 0.
+
+    The tokenizer's file is read by the driver, which sends it to the executors. The histogram is a table of its own, so
+    that whoever reads it several times doesn't encode the texts again.
+    """
+    spark = documents.sparkSession
+    spark.sparkContext.addFile(tokenizer)
+    shipped = os.path.basename(tokenizer)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(tokenizer).encode_ordinary
+        encode = _encoding(SparkFiles.get(shipped)).encode_ordinary
         seen: Counter[int] = Counter()
         for part in textops.slices(batches):
             seen.update(len(encode(t)) if t else 0 for t in part.column(0).to_pylist())
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["length", "n_docs"])
 
     part = documents.select(F.col(text_column).alias("text")).mapInArrow(count, "length long, n_docs long")
-    return part.groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
+    return Scratch(spark, "lengths").table(part.groupBy("length").agg(F.sum("n_docs").alias("n_docs")), "histogram")
 
 
 def suffix_sums(lengths: DataFrame) -> DataFrame:
