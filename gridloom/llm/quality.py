@@ -148,22 +148,23 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return text_features(column("text")), meta_features(column("lang"), column("source"), column("n_chars"))
 
 
-def _gather(rows: DataFrame, label: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Views and labels of a bounded sample, in the order of its ids."""
+def _gather(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Views and labels of a bounded sample (doc_id, text, lang, source, n_chars, label), in the order of its ids."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in textops.slices(batches):
             a, b = _views(part)
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(part.schema.get_field_index("label")).cast(pa.int32()), pa.array(list(a), pa.list_(pa.float64())), pa.array(list(b), pa.list_(pa.float64()))], ["doc_id", "label", "a", "b"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(part.schema.get_field_index("label")), pa.array(list(a), pa.list_(pa.float64())), pa.array(list(b), pa.list_(pa.float64()))], ["doc_id", "label", "a", "b"])
 
-    got = rows.select("doc_id", *_COLUMNS, F.expr(label).cast("int").alias("label")).mapInArrow(made, "doc_id long, label int, a array<double>, b array<double>").orderBy("doc_id", "a").collect()
+    got = rows.mapInArrow(made, "doc_id long, label int, a array<double>, b array<double>").orderBy("doc_id", "a", "b").collect()
     wide = len(text_features(pa.array(["x"]))[0]), SOURCES + LANGS + 4
     return np.array([r["a"] for r in got], np.float64).reshape(-1, wide[0]), np.array([r["b"] for r in got], np.float64).reshape(-1, wide[1]), np.array([r["label"] for r in got], np.int64)
 
 
-def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> CoTrained:
-    text, meta, y = _gather(labelled_sample(spark, documents, labels, "quality", PER_CLASS), "label")
-    pool_text, pool_meta, _ = _gather(unlabelled_sample(documents, POOL), "0")
+def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL) -> CoTrained:
+    """From about ``per_class`` labelled documents of each class and ``pool`` others; columns besides the views' own are ignored."""
+    text, meta, y = _gather(labelled_sample(spark, documents, list(_COLUMNS), labels, "quality", per_class))
+    pool_text, pool_meta, _ = _gather(unlabelled_sample(documents, list(_COLUMNS), pool).withColumn("label", F.lit(0)))
     return co_train(text, meta, y, pool_text, pool_meta)
 
 
@@ -171,7 +172,7 @@ def score(documents: DataFrame, model: CoTrained) -> DataFrame:
     """``documents`` with ``text_score, meta_score, score`` (probabilities of good quality) and ``keep``.
 
     Null columns have features of their own; empty texts are scored like others; repeated rows repeat. Input columns of
-    these names are replaced.
+    these names are replaced; ``kept`` leaves all columns as they are.
     """
     held = documents.sparkSession.sparkContext.broadcast(model)
     documents = documents.drop("text_score", "meta_score", "score", "keep")
@@ -184,3 +185,14 @@ def score(documents: DataFrame, model: CoTrained) -> DataFrame:
 
     more = [T.StructField(name, T.DoubleType()) for name in ("text_score", "meta_score", "score")]
     return documents.mapInArrow(made, T.StructType([*documents.schema.fields, *more, T.StructField("keep", T.BooleanType())]))
+
+
+def kept(documents: DataFrame, model: CoTrained) -> DataFrame:
+    """The rows of ``documents`` that the model keeps, with all their columns."""
+    held = documents.sparkSession.sparkContext.broadcast(model)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in textops.slices(batches):
+            yield part.filter(pa.array(held.value.scores(*_views(part))[2] >= held.value.threshold))
+
+    return documents.mapInArrow(made, documents.schema)

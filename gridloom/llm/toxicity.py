@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from . import textops
 from .linear import labelled_sample, sigmoid
+from .scratch import Scratch
 
 #: Labelled rows of each class that training may see.
 PER_CLASS = 3000
@@ -71,27 +72,29 @@ def _density(n: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.minimum(1.0, 25.0 * n / np.maximum(1, words))
 
 
-def fit(row: np.ndarray, word: np.ndarray, n: np.ndarray, sizes: np.ndarray, toxic: np.ndarray) -> Ordinal:
-    """From the distinct words (row, word, n) of labelled texts. Without both classes every text gets a low grade."""
+def marking_words(words: DataFrame, good: int, bad: int, most: int = WORDS) -> DataFrame:
+    """``word`` of the ``most`` words that mark toxic texts best, from ``word, label, texts`` (texts of that label that hold it).
+
+    The score is the signed root of the likelihood ratio against a word that doesn't care for the label.
+    """
+    share = bad / (good + bad)
+    sums = words.groupBy("word").agg(F.sum(F.when(F.col("label") == 1, F.col("texts")).otherwise(0)).alias("bad"), F.sum("texts").alias("both"))
+    part = lambda n, expected: n * F.ln(F.greatest(n, F.lit(1)) / expected)
+    b, n = F.col("bad"), F.col("both")
+    ratio = part(b, n * share) + part(n - b, n * (1 - share))
+    scored = sums.withColumn("z", F.signum(b - n * share) * F.sqrt(F.greatest(F.lit(0.0), 2 * ratio)))
+    return scored.where((n >= LEAST_DOCUMENTS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "word").limit(most).select("word")
+
+
+def fit(words: np.ndarray, row: np.ndarray, word: np.ndarray, n: np.ndarray, sizes: np.ndarray, toxic: np.ndarray) -> Ordinal:
+    """From the feature words, sorted, and where they stand in labelled texts (row, word, n). Without both classes every text gets a low grade."""
     rows = len(sizes)
     low = np.array([4.0, 5.0, 6.0])
     if not rows or toxic.min() == toxic.max():
         return Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), low)
-    words, inverse = np.unique(word, return_inverse=True)
-    bad = np.bincount(inverse, weights=toxic[row], minlength=len(words))
-    good = np.bincount(inverse, minlength=len(words)) - bad
     a, b = toxic.sum(), (1 - toxic).sum()
-    # signed root of the likelihood ratio against a word that doesn't care for the label
-    share, both = a / (a + b), bad + good
-    ratio = bad * np.log(np.maximum(bad, 1) / (both * share)) + good * np.log(np.maximum(good, 1) / (both * (1 - share)))
-    z = np.sign(bad - both * share) * np.sqrt(2 * np.maximum(0, ratio))
-    strong = np.where((both >= LEAST_DOCUMENTS) & (z >= LEAST_Z), z, 0)
-    kept = np.sort(np.argsort(-strong, kind="stable")[:WORDS])
-    kept = kept[strong[kept] > 0]
-    of = np.full(len(words), -1)
-    of[kept] = np.arange(len(kept))
-    use = of[inverse] >= 0
-    row, col, n = row[use], of[inverse][use], n[use]
+    col = np.searchsorted(words, word)
+    kept = words
     dense = _density(n, sizes[row])
     marked = np.bincount(row, weights=n, minlength=rows) / np.maximum(1, sizes)
     grade = np.zeros(rows, np.int64)
@@ -116,10 +119,18 @@ def fit(row: np.ndarray, word: np.ndarray, n: np.ndarray, sizes: np.ndarray, tox
         np.maximum(theta[:-GRADES], 0, out=theta[:-GRADES])
     cut = theta[-GRADES:]
     t = cut[0] + np.concatenate(([0.0], np.cumsum(np.exp(np.clip(cut[1:], -5, 5)))))
-    return Ordinal(words[kept], theta[: len(kept)], theta[len(kept) : -GRADES], t)
+    return Ordinal(words, theta[: len(kept)], theta[len(kept) : -GRADES], t)
+
 
+SAMPLE = "doc_id long, label int, size long, word array<long>, n array<long>"
+
+
+def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most: int = WORDS) -> Ordinal:
+    """From about ``per_class`` labelled documents of each class; texts that occur twice count once, as toxic if any is.
+
+    Words are counted and chosen on the executors: the driver gets the ``most`` feature words and where they stand in the sample.
+    """
 
-def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Ordinal:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in textops.slices(batches):
             row, word, n, sizes = word_counts(part.column(1))
@@ -127,12 +138,34 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Ordin
             pick = lambda x, t: pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, t))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sizes, pa.int64()), pick(word.view(np.int64), pa.int64()), pick(n, pa.int64())], ["doc_id", "label", "size", "word", "n"])
 
-    sample = labelled_sample(spark, documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, "toxic", PER_CLASS).select("doc_id", "text", "label").dropDuplicates(["text"])
-    got = sample.mapInArrow(made, "doc_id long, label int, size long, word array<long>, n array<long>").orderBy("doc_id").toArrow()
-    sizes = got.column("size").to_numpy()
-    count = np.array([len(x) for x in got.column("word").to_pylist()], np.int64)
-    flat = lambda name: got.column(name).combine_chunks().flatten().to_numpy() if len(got) else np.zeros(0, np.int64)
-    return fit(np.repeat(np.arange(len(sizes)), count), flat("word").astype(np.int64).view(np.uint64), flat("n"), sizes, got.column("label").to_numpy().astype(np.int64))
+    found = labelled_sample(spark, documents, ["text"], labels, "toxic", per_class)
+    found = found.groupBy("text").agg(F.max(F.struct("label", -F.col("doc_id"))).alias("x")).select((-F.col("x.col2")).alias("doc_id"), "text", F.col("x.label").alias("label"))
+    scratch = Scratch(spark, "toxicity")
+    sample = scratch.table(found.mapInArrow(made, SAMPLE), "sample")
+    count = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(count) < 2:
+        return fit(*(np.zeros(0, np.uint64),) * 3, *(np.zeros(0, np.int64),) * 3)
+    each = sample.select("label", F.explode("word").alias("word")).groupBy("word", "label").agg(F.count("*").alias("texts"))
+    marks = scratch.table(marking_words(each, count[0], count[1], most), "words")
+    words = np.sort(np.array([r["word"] for r in marks.collect()], np.int64).view(np.uint64))
+    held = spark.sparkContext.broadcast(words)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, word, n = (batch.column(k) for k in (0, 3, 4))
+            of = np.repeat(np.arange(len(row)), word.value_lengths().to_numpy(zero_copy_only=False))
+            word, n = word.flatten().to_numpy(zero_copy_only=False).view(np.uint64), n.flatten().to_numpy(zero_copy_only=False)
+            ok = np.isin(word, held.value)
+            first = np.searchsorted(of[ok], np.arange(len(row) + 1))
+            pick = lambda x: pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int64()))
+            yield pa.RecordBatch.from_arrays([row, batch.column(1), batch.column(2), pick(word[ok].view(np.int64)), pick(n[ok])], ["doc_id", "label", "size", "word", "n"])
+
+    got = sample.mapInArrow(marked, SAMPLE).orderBy("doc_id", "size").toArrow().combine_chunks()
+    scratch.release("sample", "words")
+    lists = got.column("word").combine_chunks() if len(got) else pa.array([], pa.list_(pa.int64()))
+    row = np.repeat(np.arange(len(got)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    flat = lambda name: got.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return fit(words, row, flat("word").view(np.uint64), flat("n"), got.column("size").to_numpy(), got.column("label").to_numpy().astype(np.int64))
 
 
 def score(documents: DataFrame, model: Ordinal) -> DataFrame:
