@@ -8,7 +8,10 @@ cost one pass of each hash function over the text. One row a band (r = 1) with `
 window of the lowest Jaccard that can matter with probability above 0.999. Whatever a band hits is verified: the
 share of the item's distinct shingles that stand in the whole document must reach the threshold.
 
-Items are taken in blocks of bounded size, each broadcast and held against all rows; documents are never shuffled.
+An item of fewer than five words has no five-word shingle: it is found wherever its words stand in a row.
+
+Items are taken in blocks of bounded size, one at a time: each is broadcast, held against all rows, and destroyed. What
+a block finds is small and is written; only where there are several blocks, ``clean`` joins it with the documents.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops
+from .scratch import Scratch
 
 HASHES = 40
 #: Shingles of a block in the smallest class; classes double from here.
@@ -43,48 +47,63 @@ class Index:
     sets: np.ndarray
     first: np.ndarray
     classes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # (class, band and value, item, filter)
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by words: sorted hashes of whole items, item
 
 
 def _minima(s: np.ndarray, k: int) -> np.ndarray:
     return ((s * _MUL[k] + _ADD[k]) >> np.uint64(32)).astype(np.uint32)
 
 
-def build(ids: list[int], texts: list[str | None]) -> Index:
+def build(ids: list[int | None], texts: list[str | None]) -> Index:
     column = pa.array(texts, pa.string())
-    s, first = textops.shingles(textops.words(column))
+    w = textops.words(column)
+    s, first = textops.shingles(w)
     sets = [np.unique(s[first[k] : first[k + 1]]) for k in range(len(texts))]
     kept = [k for k, x in enumerate(sets) if len(x)]
-    ids, sets = [ids[k] for k in kept], [sets[k] for k in kept]
+    ids, sets, counts = [ids[k] for k in kept], [sets[k] for k in kept], w.counts[kept]
+    short = {}
+    for n in range(1, textops.SHINGLE):
+        own = np.flatnonzero(counts == n)
+        if len(own):
+            whole = np.array([sets[k][0] for k in own], np.uint64)
+            order = np.argsort(whole, kind="stable")
+            short[n] = whole[order], own[order]
     by_class: dict[int, list[int]] = {}
     for k, x in enumerate(sets):
-        by_class.setdefault(max(0, int(np.ceil(np.log2(len(x) / SMALLEST)))), []).append(k)
+        if counts[k] >= textops.SHINGLE:
+            by_class.setdefault(max(0, int(np.ceil(np.log2(len(x) / SMALLEST)))), []).append(k)
     classes = []
     for c, members in sorted(by_class.items()):
-        band, value, item = [], [], []
-        for k in range(HASHES):
-            for m in members:
-                band.append(k)
-                value.append(_minima(sets[m], k).min())
-                item.append(m)
-        key = (np.array(band, np.uint64) << np.uint64(32)) | np.array(value, np.uint64)
+        own = np.concatenate([sets[m] for m in members])
+        starts = np.cumsum([0] + [len(sets[m]) for m in members[:-1]])
+        value = np.concatenate([np.minimum.reduceat(_minima(own, k), starts) for k in range(HASHES)])
+        band = np.repeat(np.arange(HASHES), len(members))
+        key = (band.astype(np.uint64) << np.uint64(32)) | value.astype(np.uint64)
         order = np.argsort(key, kind="stable")
         hit = np.zeros((HASHES, 1 << _FILTER_BITS), bool)
-        hit[np.array(band), (np.array(value, np.uint64) & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-        classes.append((c, key[order], np.array(item)[order], hit))
+        hit[band, value & np.uint32((1 << _FILTER_BITS) - 1)] = True
+        classes.append((c, key[order], np.tile(members, HASHES)[order], hit))
     sizes = np.array([0] + [len(x) for x in sets])
-    return Index(np.array(ids, np.int64), np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.cumsum(sizes), classes)
+    return Index(np.array(ids, object), np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.cumsum(sizes), classes, short)
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every place in the ranges [low, high), with the range it comes from."""
+    n = high - low
+    of = np.repeat(np.arange(len(n)), n)
+    return np.arange(int(n.sum())) + np.repeat(low - (np.cumsum(n) - n), n), of
 
 
-def _candidates(s: np.ndarray, first: np.ndarray, index: Index) -> set[tuple[int, int]]:
-    """(row, item) of every band hit.
+def _candidates(s: np.ndarray, first: np.ndarray, index: Index) -> np.ndarray:
+    """Row * items + item of every band hit, sorted.
 
     Each row's blocks are padded to a multiple of the largest class's, so that a larger class's minima are
     those of even and odd neighbours. Padding and windows over a row's end can only add candidates, which verification drops.
     """
-    out: set[tuple[int, int]] = set()
+    out = [np.zeros(0, np.int64)]
     counts = np.diff(first)
     if not len(s) or not index.classes:
-        return out
+        return out[0]
     low_class, high_class = index.classes[0][0], index.classes[-1][0]
     block, group = SMALLEST << low_class, 1 << (high_class - low_class)
     real = -(-counts // block)
@@ -109,49 +128,68 @@ def _candidates(s: np.ndarray, first: np.ndarray, index: Index) -> set[tuple[int
             keys, items, hit = table[c]
             window = low.copy()
             np.minimum(low[:-1], low[1:], out=window[:-1])
-            for at in np.flatnonzero(hit[k][window & mask]):
-                key = (np.uint64(k) << np.uint64(32)) | np.uint64(window[at])
-                for p in range(int(np.searchsorted(keys, key)), int(np.searchsorted(keys, key, side="right"))):
-                    out.add((int(row[at << (c - low_class)]), int(items[p])))
-    return out
+            at = np.flatnonzero(hit[k][window & mask])
+            if not len(at):
+                continue
+            # a minimum that many windows of a row share counts once
+            own = np.unique(row[at << (c - low_class)] << 32 | window[at].astype(np.int64))
+            key = np.uint64(k << 32) | (own & 0xFFFFFFFF).astype(np.uint64)
+            places, of = _ranges(np.searchsorted(keys, key), np.searchsorted(keys, key, side="right"))
+            out.append(np.unique((own >> 32)[of] * len(index.ids) + items[places]))
+    return np.unique(np.concatenate(out))
 
 
-def _hits(part: pa.RecordBatch, index: Index, percent: int):
+def _hits(part: pa.RecordBatch, index: Index, percent: int) -> Iterator[tuple[int, int, int, int]]:
     """(row, item, shingles of the item, those found in the text) of each verified hit."""
-    s, first = textops.shingles(textops.words(part.column(part.schema.get_field_index("text"))))
-    for row, item in sorted(_candidates(s, first, index)):
-        own = index.sets[index.first[item] : index.first[item + 1]]
-        found = int(np.isin(own, s[first[row] : first[row + 1]]).sum())
-        if 100 * found >= percent * len(own):
-            yield row, item, len(own), found
-
-
-def search(documents: DataFrame, items: Index, percent: int = 80) -> DataFrame:
-    """``doc_id, item_id, item_shingles, found_shingles`` of each document that contains an item of the block.
-
-    Null and empty texts contain nothing and null items are not searched. A text or item of fewer than five words has
-    one shingle, its whole word sequence. Repeated rows repeat; a null id stays null.
-    """
-    held = documents.sparkSession.sparkContext.broadcast(items)
+    w = textops.words(part.column(part.schema.get_field_index("text")))
+    h = textops.word_hash(w)
+    s, first = textops.shingles(w, h)
+    for n, (whole, items) in index.short.items():
+        own, rows = textops.ngrams(w, n, h)
+        places, of = _ranges(np.searchsorted(whole, own), np.searchsorted(whole, own, side="right"))
+        for row, item in np.unique(np.stack((rows[of], items[places]), 1), axis=0):
+            yield int(row), int(item), 1, 1
+    found = _candidates(s, first, index)
+    rows, items = np.divmod(found, max(1, len(index.ids)))
+    for row in np.unique(rows):
+        text = np.unique(s[first[row] : first[row + 1]])
+        own = items[rows == row]
+        for some in np.array_split(own, 1 + len(own) // 1000):  # bounds the memory of a text that many items resemble
+            places, of = _ranges(index.first[some], index.first[some + 1])
+            sets = index.sets[places]
+            n = np.bincount(of, weights=text[np.minimum(np.searchsorted(text, sets), len(text) - 1)] == sets, minlength=len(some)).astype(np.int64)
+            size = index.first[some + 1] - index.first[some]
+            for k in np.flatnonzero(100 * n >= percent * size):
+                yield int(row), int(some[k]), int(size[k]), int(n[k])
+
+
+COLUMNS = "doc_id long, item_id long, item_shingles long, found_shingles long"
+
+
+def _search(documents: DataFrame, held, percent: int) -> DataFrame:
+    """``doc_id, text_hash`` and the columns of a hit, for one broadcast block."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = held.value
         for part in textops.slices(batches):
-            out: list[list] = [[], [], [], []]
-            ids = part.column(0)
-            for row, item, size, found in _hits(part, index, percent):
-                for column, x in zip(out, (ids[row].as_py(), int(index.ids[item]), size, found), strict=True):
-                    column.append(x)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["doc_id", "item_id", "item_shingles", "found_shingles"])
+            hits = list(_hits(part, index, percent))
+            if hits:
+                row, item, size, found = zip(*hits, strict=True)
+                at = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array([None if index.ids[k] is None else int(index.ids[k]) for k in item], pa.int64()), pa.array(size, pa.int64()), pa.array(found, pa.int64())], ["doc_id", "text_hash", "item_id", "item_shingles", "found_shingles"])
+
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("text_hash"), "text")
+    return docs.mapInArrow(rows, COLUMNS.replace(",", ", text_hash long,", 1))
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, item_id long, item_shingles long, found_shingles long")
+
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Index]:
-    """The items in bounded blocks, read one block at a time in the driver; a null id is searched as -1."""
+    """The items in bounded blocks, read one block at a time in the driver; a null id stays null."""
     ids, texts, words = [], [], 0
-    for row in benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1)), "text").toLocalIterator():
+    for row in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
         words += len(row[1] or "") // 2
@@ -162,26 +200,41 @@ def blocks(benchmark: DataFrame) -> Iterator[Index]:
         yield build(ids, texts)
 
 
-def contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
-    """Documents that contain items, over all blocks of items."""
-    out = None
+def _found(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, percent: int) -> DataFrame:
+    """Hits of all blocks as a table; one block at a time is in memory."""
+    scratch, out = Scratch(spark, "decontaminate"), None
     for index in blocks(benchmark):
-        part = search(documents, index, percent)
-        out = part if out is None else out.union(part)
-    return spark.createDataFrame([], "doc_id long, item_id long, item_shingles long, found_shingles long") if out is None else out
+        held = spark.sparkContext.broadcast(index)
+        out = scratch.add(_search(documents, held, percent), "found")
+        held.destroy()
+    return spark.createDataFrame([], f"text_hash long, {COLUMNS}") if out is None else out
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
-    """``documents`` without those that contain an item; no row is shuffled."""
-    sc = documents.sparkSession.sparkContext
-    for index in blocks(benchmark):
-        held = sc.broadcast(index)
+def contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
+    """``doc_id, item_id, item_shingles, found_shingles`` of each document that contains an item.
 
-        def rows(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+    Null and empty texts contain nothing and null items are not searched. An item of fewer than five words counts as one
+    shingle and is found where its words stand in a row. Repeated rows and items repeat; null ids stay null.
+    """
+    return _found(spark, documents, benchmark, percent).select("doc_id", "item_id", "item_shingles", "found_shingles")
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
+    """``documents`` without those that contain an item, with all their columns."""
+    spark = documents.sparkSession
+    every = blocks(benchmark)
+    one, more = next(every, None), next(every, None)
+    if one is None:
+        return documents
+    if more is None:  # a filter in place
+        held = spark.sparkContext.broadcast(one)
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in textops.slices(batches):
                 keep = np.ones(part.num_rows, bool)
                 keep[[row for row, *_ in _hits(part, held.value, percent)]] = False
                 yield part.filter(pa.array(keep))
 
-        documents = documents.mapInArrow(rows, documents.schema)
-    return documents
+        return documents.mapInArrow(rows, documents.schema)
+    found = _found(spark, documents, benchmark, percent).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")).distinct()
+    return documents.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (_text_hash() == F.col("__text")), "left_anti")

@@ -126,11 +126,15 @@ SELECT doc_id, size::BIGINT AS size, source_size, target, (epochs * size)::BIGIN
 _GRAMS = """unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END) AS g"""
 _OP8 = f"""
-WITH d AS (SELECT doc_id, {_GRAMS} FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
-q AS (SELECT item_id, {_GRAMS} FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+WITH a AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+d AS (SELECT doc_id, {_GRAMS} FROM a),
+q AS (SELECT item_id, {_GRAMS} FROM b WHERE len(w) >= 5),
 n AS (SELECT item_id, count(*) AS n FROM q GROUP BY item_id),
-o AS (SELECT d.doc_id, q.item_id, count(*) AS c FROM d JOIN q USING (g) GROUP BY 1, 2)
+o AS (SELECT d.doc_id, q.item_id, count(*) AS c FROM d JOIN q USING (g) GROUP BY 1, 2),
+f AS (SELECT item_id, len(w) AS k, array_to_string(w, ' ') AS g FROM b WHERE len(w) BETWEEN 1 AND 4),
+e AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS g FROM a, (SELECT DISTINCT k FROM f) WHERE len(w) >= k)
 SELECT doc_id, item_id, n AS item_shingles, c AS found_shingles FROM o JOIN n USING (item_id) WHERE 100 * c >= 80 * n
+UNION ALL SELECT doc_id, item_id, 1, 1 FROM e JOIN f USING (k, g)
 """
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one slice holds at most (a longer text is a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 SHINGLE = 5
 
 _IS_WORD = np.ones(256, dtype=bool)
@@ -142,6 +142,15 @@ def shingles(w: Words, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np
     return out, first
 
 
+def ngrams(w: Words, k: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each run of ``k`` < SHINGLE words, and its row; the same hash as that of a text of these words alone."""
+    starts = np.concatenate([np.arange(w.first[r], w.first[r + 1] - k + 1) for r in np.flatnonzero(w.counts >= k)] or [np.zeros(0, np.int64)])
+    total = _WHOLE * np.full(len(starts), k, np.uint64)
+    for j in range(k):
+        total += hashes[starts + j] * _STEP[j]
+    return mix(total), w.doc[starts]
+
+
 def token_counts(column: pa.Array) -> np.ndarray:
     """Words of each text."""
     return words(column, lower=False).counts

@@ -7,7 +7,7 @@ from gridloom.llm.queries import oracle_sql, queries
 
 from ..conftest import SF
 from ..test_queries import same_rows
-from .common import awkward, frame, prose, shingles
+from .common import awkward, frame, prose, shingles, words
 
 
 def brute(rows, items, percent=80):
@@ -15,8 +15,11 @@ def brute(rows, items, percent=80):
     for d, t, *_ in rows:
         x = shingles(t)
         for i, q in items:
-            q = shingles(q)
-            if q and 100 * len(q & x) >= percent * len(q):
+            n, q = words(q), shingles(q)
+            if 0 < len(n) < 5:
+                w = words(t)
+                out += [(d, i, 1, 1)] * any(w[k : k + len(n)] == n for k in range(len(w)))
+            elif q and 100 * len(q & x) >= percent * len(q):
                 out.append((d, i, len(q), len(q & x)))
     return sorted(out, key=str)
 
@@ -39,21 +42,48 @@ def corpus(seed=0):
 
 def test_recall_and_precision_against_brute_force(spark):
     rows, items = corpus()
+    items += [(900, None), (901, ""), (902, "one two")]
     want = brute(rows, items)
-    bench = spark.createDataFrame([*items, (900, None), (901, ""), (902, "one two")], "item_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
     got = sorted(map(tuple, decontaminate.contaminated(spark, frame(spark, rows), bench).collect()), key=str)
     assert set(got) <= set(want) and len(got) >= 0.97 * len(want) > 30
     kept = {r["doc_id"] for r in decontaminate.clean(frame(spark, rows), bench).collect()}
     assert kept == {r[0] for r in rows} - {g[0] for g in got}
 
 
+def test_short_items_stand_inside_long_texts(spark, duck):
+    long = " ".join(f"w{k}" for k in range(900))
+    rows = [(1, f"{long} Rare Phrase {long}", None, None, None), (2, "rare phrase", None, None, None), (3, "rare", None, None, None), (None, f"{long} rare  phrase", None, None, None), (4, "phrase rare", None, None, None), (5, None, None, None, None), (6, f"one two three four {long}", None, None, None), (7, "one two three", None, None, None)]
+    items = [(1, "rare phrase"), (-1, "w1 w2 w3 w4"), (None, "one two three four"), (8, None), (9, " ")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.contaminated(spark, frame(spark, rows), bench).collect()), key=str)
+    assert got == brute(rows, items) and len(got) == 7
+    duck.execute("create schema if not exists short; use short")
+    duck.execute("create or replace table documents(doc_id bigint, text varchar); create or replace table benchmark(item_id bigint, text varchar)")
+    duck.executemany("insert into documents values (?, ?)", [r[:2] for r in rows])
+    duck.executemany("insert into benchmark values (?, ?)", items)
+    try:
+        assert sorted(duck.execute(oracle_sql()["op8_decontamination"]).fetchall(), key=str) == got
+    finally:
+        duck.execute("use main")
+
+
+def test_a_minimum_that_many_items_share(spark):
+    prompt = " ".join(f"p{k}" for k in range(40))
+    items = [(k, f"{prompt} answer{k} {' '.join(f'a{k}x{j}' for j in range(20))}") for k in range(600)]
+    rows = [(k, f"{'x ' * k}{items[k][1] if k % 2 else prompt} end", None, None, None) for k in range(40)]
+    got = sorted(map(tuple, decontaminate.contaminated(spark, frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()), key=str)
+    assert got == brute(rows, items) and len(got) == 20
+
+
 def test_items_in_blocks(spark, monkeypatch):
     rows, items = corpus(3)
+    rows.append((rows[0][0], "another text of the first id", None, None, None))
     bench = spark.createDataFrame(items, "item_id long, text string")
     whole = sorted(map(tuple, decontaminate.contaminated(spark, frame(spark, rows), bench).collect()), key=str)
     monkeypatch.setattr(decontaminate, "ITEMS", 7)
     assert sorted(map(tuple, decontaminate.contaminated(spark, frame(spark, rows), bench).collect()), key=str) == whole
-    assert decontaminate.clean(frame(spark, rows), bench).count() == len([r for r in rows if r[0] not in {w[0] for w in whole}])
+    assert decontaminate.clean(frame(spark, rows), bench).count() == sum(not any(len(q) and 100 * len(q & shingles(r[1])) >= 80 * len(q) for q in map(shingles, dict(items).values())) for r in rows)
 
 
 def test_empty_tables(spark):
