@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .rows import one_of_each
 from .scratch import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -89,12 +90,14 @@ def mix(spark: SparkSession, documents: DataFrame, weights: tuple[int, ...] = (5
 def mixed_documents(spark: SparkSession, documents: DataFrame, **options) -> DataFrame:
     """The documents that the mix takes, with all their columns and ``size, source_size, target, taken, epochs``.
 
-    Rows that repeat an id and its text are one row, with what is taken of all of them.
+    Rows that repeat an id, its text and its source are one row (the least by the other columns), with what is taken of all
+    of them. Input columns of these five names are replaced.
     """
     digest = F.xxhash64(F.coalesce("text", F.lit("")), "source")
-    got = mix(spark, documents, also={"digest": digest}, **options).where("epochs > 0")
-    got = got.groupBy(F.col("doc_id").alias("mixed_id"), "digest").agg(*(F.first(c).alias(c) for c in ("size", "source_size", "target")), F.sum("taken").alias("taken"), F.sum("epochs").alias("epochs"))
-    names = [c for c in documents.columns if c not in ("size", "source_size", "target", "taken", "epochs")]
-    rows = documents.select(*names, digest.alias("own_digest"))
-    out = rows.join(got, F.col("doc_id").eqNullSafe(F.col("mixed_id")) & (F.col("own_digest") == F.col("digest")))
-    return out.dropDuplicates(["doc_id", "own_digest"]).select(*names, "size", "source_size", "target", "taken", "epochs")
+    more = ["size", "source_size", "target", "taken", "epochs"]
+    got = mix(spark, documents, also={"__text": digest}, **options).where("epochs > 0")
+    keyed = lambda frame, c: frame.select("*", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.col("doc_id").isNull().alias("__none"), *c)
+    on = ["__id", "__none", "__text"]
+    got = keyed(got, []).groupBy(*on).agg(*(F.first(c).alias(f"__{c}") for c in more[:3]), *(F.sum(c).alias(f"__{c}") for c in more[3:]))
+    rows = keyed(documents.drop(*more), [digest.alias("__text")]).join(got, on)
+    return one_of_each(rows, on).withColumnsRenamed({f"__{c}": c for c in more})

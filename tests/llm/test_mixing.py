@@ -55,7 +55,9 @@ def test_awkward_rows(spark):
 def test_empty_and_documents(spark):
     assert mix(spark, frame(spark, [])).count() == 0
     rows = awkward()
-    out = mixed_documents(spark, frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars"))
+    docs = frame(spark, rows)
+    out = mixed_documents(spark, docs)
+    assert out.columns == [*(c for c in docs.columns if c != "size"), "size", "source_size", "target", "taken", "epochs"]
     all_taken = sum(r["taken"] for r in mix(spark, frame(spark, rows)).collect())
     assert out.agg({"taken": "sum"}).first()[0] == all_taken
 
