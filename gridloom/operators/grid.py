@@ -108,6 +108,140 @@ def despeckle_lee(hood: Column, looks: float) -> Column:
     return m + gain * (centre - m)
 
 
+def _local(hood: Column, looks: float) -> tuple[Column, Column, Column, Column]:
+    """Mean, centre, squared local variation and that of speckle alone."""
+    m, v = hood_mean(hood), hood_variance(hood)
+    return m, hood[F.floor(F.size(hood) / 2).cast("int")], F.when(m == 0, 0.0).otherwise(v / F.when(m == 0, 1.0).otherwise(m * m)), F.lit(1.0 / looks)
+
+
+def despeckle_kuan(hood: Column, looks: float) -> Column:
+    """Linear mix of centre and local mean for multiplicative noise."""
+    m, x, c, u = _local(hood, looks)
+    w = F.when(c <= u, 0.0).otherwise((1 - u / F.when(c <= u, 1.0).otherwise(c)) / (1 + u))
+    return m + w * (x - m)
+
+
+def despeckle_gamma_map(hood: Column, looks: float) -> Column:
+    """The likeliest reflectivity under gamma statistics; flat places give the mean, strong scatterers stay."""
+    m, x, c, u = _local(hood, looks)
+    a = (1 + u) / F.when(c <= u, 1.0).otherwise(c - u)
+    b = a - looks - 1
+    best = (b * m + F.sqrt(F.greatest(F.lit(0.0), m * m * b * b + 4 * a * looks * m * x))) / (2 * a)
+    return F.when(c <= u, m).when(c >= 2 * u, x).otherwise(best)
+
+
+def despeckle_frost(hood: Column, radius: int, damping: float) -> Column:
+    """Mean with weights that fall with the distance, the faster the more the place varies."""
+    m, _, c, _ = _local(hood, 1.0)
+    far = [math.hypot(i, j) for i in range(-radius, radius + 1) for j in range(-radius, radius + 1)]
+    w = [F.exp(F.lit(-damping * d) * c) for d in far]
+    total, sums = w[0], w[0] * hood[0]
+    for k in range(1, len(w)):
+        total, sums = total + w[k], sums + w[k] * hood[k]
+    return sums / total
+
+
+def touzi_edge(hood: Column) -> Column:
+    """One minus the least ratio of means on both sides of the centre, over the four directions of a 3 x 3 neighbourhood."""
+    sides = [((0, 1, 2), (6, 7, 8)), ((0, 3, 6), (2, 5, 8)), ((0, 1, 3), (5, 7, 8)), ((1, 2, 5), (3, 6, 7))]
+
+    def ratio(a: tuple[int, ...], b: tuple[int, ...]) -> Column:
+        p, q = (sum((hood[k] for k in x), F.lit(0.0)) for x in (a, b))
+        return F.when((p == 0) | (q == 0), F.when(p == q, 1.0).otherwise(0.0)).otherwise(F.least(p / F.when(q == 0, 1.0).otherwise(q), q / F.when(p == 0, 1.0).otherwise(p)))
+
+    return 1 - F.least(*(ratio(a, b) for a, b in sides))
+
+
+# A sharpening kernel and a hat.
+SHARPEN = [-1, -1, -1, -1, 9, -1, -1, -1, -1]
+HAT = [0, -1, 0, -1, 4, -1, 0, -1, 0]
+
+
+def diffused(grid: DataFrame, value: str, rounds: int, step: float, conductance: float) -> DataFrame:
+    """Anisotropic diffusion: each round moves a cell to its four neighbours, the less the more they differ."""
+    for _ in range(rounds):
+        h = F.col("_hood")
+        flow = F.lit(0.0)
+        for k in (1, 3, 5, 7):
+            d = h[k] - h[4]
+            flow = flow + F.exp(-(d / conductance) * (d / conductance)) * d
+        grid = stencil(grid, value, name="_hood").withColumn(value, h[4] + F.lit(step) * flow).drop("_hood")
+    return grid
+
+
+def opened(grid: DataFrame, value: str, radius: int, name: str) -> DataFrame:
+    """Grey opening by a square: the largest of the smallest values around."""
+    low = stencil(grid, value, radius, "_hood").withColumn("_low", F.array_min("_hood")).drop("_hood")
+    return stencil(low, "_low", radius, "_hood").withColumn(name, F.array_max("_hood")).drop("_hood", "_low")
+
+
+def structural_features(hood: Column, radius: int, threshold: float) -> Column:
+    """How far cells stay within the threshold of the centre along four lines: longest, shortest, and mean length."""
+    side = 2 * radius + 1
+    at = lambda i, j: hood[(radius + i) * side + radius + j]
+    lengths = []
+    for i, j in ((0, 1), (1, 0), (1, 1), (1, -1)):
+        reach = F.lit(0)
+        for sign in (1, -1):
+            run = F.lit(radius)
+            for k in range(radius, 0, -1):
+                run = F.when(F.abs(at(sign * i * k, sign * j * k) - at(0, 0)) > threshold, k - 1).otherwise(run)
+            reach = reach + run
+        lengths.append(reach)
+    return F.struct(F.greatest(*lengths).alias("longest"), F.least(*lengths).alias("shortest"), (sum(lengths, F.lit(0)) / 4).alias("mean"))
+
+
+def haar(grid: DataFrame, value: str) -> DataFrame:
+    """One level of the Haar transform: mean and three differences of each 2 x 2 block; odd last rows and columns go without."""
+    r, c = F.col("row") % 2, F.col("col") % 2
+    sign = lambda *odd: F.sum(F.when(sum(odd, F.lit(0)) % 2 == 0, F.col(value)).otherwise(-F.col(value))) / 2
+    block = grid.groupBy(F.expr("cast(row div 2 as int)").alias("row"), F.expr("cast(col div 2 as int)").alias("col"))
+    return block.agg(F.count("*").alias("_n"), sign().alias("ll"), sign(c).alias("lh"), sign(r).alias("hl"), sign(r, c).alias("hh")).where("_n = 4").drop("_n")
+
+
+def contour_points(grid: DataFrame, value: str, level: float) -> DataFrame:
+    """Where a level crosses between neighbouring cells: (x, y) by linear interpolation, x along columns."""
+    v = F.col(value)
+
+    def crossing(place: str, key: str) -> DataFrame:
+        nxt = along(grid, place, 1, lambda w: {"_next": F.lead(value).over(w)}, key)
+        hit = nxt.where((v < level) != (F.col("_next") < level))
+        at = F.col(place) + (F.lit(level) - v) / (F.col("_next") - v)
+        return hit.select((at if place == "col" else F.col("col").cast("double")).alias("x"), (at if place == "row" else F.col("row").cast("double")).alias("y"))
+
+    return crossing("col", "row").unionByName(crossing("row", "col"))
+
+
+def label_runs(grid: DataFrame, label: str) -> DataFrame:
+    """Runs of equal labels along rows: (label, row, col, length). Runs that a block's border cuts are joined by their ends."""
+    step = along(grid, "col", 1, lambda w: {"_opens": F.when(F.lag(label).over(w) == F.col(label), 0).otherwise(1)}, "row")
+    starts = step.where("_opens = 1").select(F.col(label), "row", "col")
+    ends = along(step, "col", 1, lambda w: {"_closes": F.when(F.lead(label).over(w) == F.col(label), 0).otherwise(1)}, "row").where("_closes = 1").select(F.col(label), "row", F.col("col").alias("_end"))
+    # the k-th run of a label in a row has the k-th start and the k-th end
+    order = lambda c: F.row_number().over(Window.partitionBy(label, "row").orderBy(c))
+    both = starts.withColumn("_k", order("col")).join(ends.withColumn("_k", order("_end")), [label, "row", "_k"])
+    return both.select(label, "row", "col", (F.col("_end") - F.col("col") + 1).cast("long").alias("length"))
+
+
+def one_per_cell(objects: DataFrame, label: str, attribute: str, largest: bool = True) -> DataFrame:
+    """Where several objects (label, row, col, attribute) hold a cell, the one with the greatest (or least) attribute, then the least label."""
+    key = F.col(attribute) if largest else -F.col(attribute)
+    best = objects.groupBy("row", "col").agg(F.max(F.struct(key.alias("a"), (-F.col(label)).alias("l"))).alias("_x"))
+    return best.select("row", "col", (-F.col("_x.l")).alias(label))
+
+
+def icm_round(grid: DataFrame, value: str, label: str, means: dict[int, float], beta: float) -> DataFrame:
+    """One round of iterated conditional modes: each cell takes the label with the least squared error plus ``beta`` for every
+    neighbour of another label, the least of equal ones."""
+    h = stencil(grid, label, name="_hood")
+    options = []
+    differs = lambda k: lambda x: x != k
+    for k, m in sorted(means.items()):
+        other = F.size(F.filter(F.col("_hood"), differs(k))) - F.when(F.col(label) != k, 1).otherwise(0)
+        options.append(F.struct((F.pow(F.col(value) - F.lit(float(m)), 2) + F.lit(beta) * other).alias("e"), F.lit(k).alias("k")))
+    return h.withColumn(label, F.array_min(F.array(*options))["k"]).drop("_hood")
+
+
 def hessian_score(xx: Column, yy: Column, xy: Column, alpha: float) -> Column:
     """Determinant less alpha times the squared trace."""
     return xx * yy - xy * xy - F.lit(alpha) * (xx + yy) * (xx + yy)
