@@ -94,3 +94,123 @@ def points_of_text(text: Column) -> Column:
     body = F.regexp_extract(text, r"\(+([^()]*)\)", 1)
     pairs = F.filter(F.split(body, r"\s*,\s*"), lambda p: p != "")
     return F.transform(pairs, lambda p: F.struct(F.split(F.trim(p), r"\s+")[0].cast("double").alias("x"), F.split(F.trim(p), r"\s+")[1].cast("double").alias("y")))
+
+
+def path_length(path: Column) -> Column:
+    """Length of an open path."""
+    pairs = F.zip_with(F.slice(path, 1, F.size(path) - 1), F.slice(path, 2, F.greatest(F.size(path) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return F.when(F.size(path) < 2, 0.0).otherwise(F.aggregate(pairs, F.lit(0.0), lambda s, e: s + F.hypot(e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"])))
+
+
+def line_centroid(path: Column) -> Column:
+    """Mean of the segments' middles weighted by their lengths; null without length."""
+    edges = F.arrays_zip(F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))
+    zero = F.struct(F.lit(0.0).alias("l"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+
+    def add(s: Column, e: Column) -> Column:
+        l = F.hypot(e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"])
+        return F.struct((s["l"] + l).alias("l"), (s["x"] + l * (e["a"]["x"] + e["b"]["x"]) / 2).alias("x"), (s["y"] + l * (e["a"]["y"] + e["b"]["y"]) / 2).alias("y"))
+
+    return F.aggregate(edges, zero, add, lambda s: F.when(s["l"] > 0, F.struct((s["x"] / s["l"]).alias("x"), (s["y"] / s["l"]).alias("y"))))
+
+
+def ring_centroid(ring: Column) -> Column:
+    """Centre of gravity of a ring's area; null without area."""
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+
+    def add(s: Column, e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        w = a["x"] * b["y"] - b["x"] * a["y"]
+        return F.struct((s["a"] + w).alias("a"), (s["x"] + w * (a["x"] + b["x"])).alias("x"), (s["y"] + w * (a["y"] + b["y"])).alias("y"))
+
+    return F.aggregate(_edges(ring), zero, add, lambda s: F.when(s["a"] != 0, F.struct((s["x"] / (3 * s["a"])).alias("x"), (s["y"] / (3 * s["a"])).alias("y"))))
+
+
+def turn(a: Column, b: Column, c: Column) -> Column:
+    """1 where the way a, b, c turns left, -1 right, 0 straight on."""
+    return F.signum((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"])).cast("int")
+
+
+def lines_crossing(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Where the lines through a, b and through c, d meet, by homogeneous coordinates; null where they are parallel."""
+    line = lambda p, q: (p["y"] - q["y"], q["x"] - p["x"], p["x"] * q["y"] - q["x"] * p["y"])
+    (x1, y1, w1), (x2, y2, w2) = line(a, b), line(c, d)
+    w = x1 * y2 - x2 * y1
+    return F.when(w != 0, F.struct(((y1 * w2 - y2 * w1) / w).alias("x"), ((x2 * w1 - x1 * w2) / w).alias("y")))
+
+
+def triangle(a: Column, b: Column, c: Column) -> Column:
+    """Area, centroid, centres of the circles around and within, and whether every corner is acute."""
+    side = lambda p, q: F.hypot(p["x"] - q["x"], p["y"] - q["y"])
+    la, lb, lc = side(b, c), side(c, a), side(a, b)
+    area = F.abs((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"])) / 2
+    around = la + lb + lc
+    d = 2 * (a["x"] * (b["y"] - c["y"]) + b["x"] * (c["y"] - a["y"]) + c["x"] * (a["y"] - b["y"]))
+    sq = lambda p: p["x"] * p["x"] + p["y"] * p["y"]
+    flat = F.when(d != 0, d)
+    longest = F.greatest(la, lb, lc)
+    return F.struct(
+        area.alias("area"), ((a["x"] + b["x"] + c["x"]) / 3).alias("cx"), ((a["y"] + b["y"] + c["y"]) / 3).alias("cy"),
+        ((sq(a) * (b["y"] - c["y"]) + sq(b) * (c["y"] - a["y"]) + sq(c) * (a["y"] - b["y"])) / flat).alias("ox"), ((sq(a) * (c["x"] - b["x"]) + sq(b) * (a["x"] - c["x"]) + sq(c) * (b["x"] - a["x"])) / flat).alias("oy"),
+        ((la * a["x"] + lb * b["x"] + lc * c["x"]) / around).alias("ix"), ((la * a["y"] + lb * b["y"] + lc * c["y"]) / around).alias("iy"), (2 * longest * longest < la * la + lb * lb + lc * lc).alias("acute"),
+    )
+
+
+def precise(value: Column, scale: float) -> Column:
+    """The nearest coordinate of a fixed grid of 1 / scale, halves upwards."""
+    return F.floor(value * F.lit(float(scale)) + F.lit(0.5)) / F.lit(float(scale))
+
+
+def place_of(x: Column, y: Column, ring: Column) -> Column:
+    """0 inside a ring, 1 on its boundary, 2 outside."""
+    on = F.exists(_edges(ring), lambda e: ((e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) == (e["b"]["y"] - e["a"]["y"]) * (x - e["a"]["x"])) & x.between(F.least(e["a"]["x"], e["b"]["x"]), F.greatest(e["a"]["x"], e["b"]["x"])) & y.between(F.least(e["a"]["y"], e["b"]["y"]), F.greatest(e["a"]["y"], e["b"]["y"])))
+    return F.when(on, 1).when(in_ring(x, y, ring), 0).otherwise(2)
+
+
+def length_index(px: Column, py: Column, path: Column) -> Column:
+    """Way along a path to its point nearest to (px, py), the first of equally near ones; and the distance (to nine places)."""
+    edges = F.arrays_zip(F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))
+    zero = F.struct(F.lit(0.0).alias("way"), F.lit(None).cast("double").alias("d"), F.lit(None).cast("double").alias("at"))
+
+    def step(s: Column, e: Column) -> Column:
+        ax, ay, bx, by = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]
+        l2 = (bx - ax) * (bx - ax) + (by - ay) * (by - ay)
+        t = F.when(l2 == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * (bx - ax) + (py - ay) * (by - ay)) / F.when(l2 == 0, 1.0).otherwise(l2))))
+        d = F.round(F.hypot(px - ax - t * (bx - ax), py - ay - t * (by - ay)), 9)
+        better = s["d"].isNull() | (d < s["d"])
+        return F.struct((s["way"] + F.sqrt(l2)).alias("way"), F.when(better, d).otherwise(s["d"]).alias("d"), F.when(better, s["way"] + t * F.sqrt(l2)).otherwise(s["at"]).alias("at"))
+
+    return F.aggregate(edges, zero, step, lambda s: F.struct(s["at"].alias("way"), s["d"].alias("distance")))
+
+
+def chain_code(path: Column, one_axis: bool = False) -> Column:
+    """Steps from each point of a path to the next, or, one axis at a time, two for each."""
+    steps = F.zip_with(F.slice(path, 1, F.size(path) - 1), F.slice(path, 2, F.size(path) - 1), lambda a, b: F.struct((b["x"] - a["x"]).alias("dx"), (b["y"] - a["y"]).alias("dy")))
+    if not one_axis:
+        return steps
+    zero = F.lit(0.0)
+    halves = F.flatten(F.transform(steps, lambda s: F.array(F.struct(s["dx"].alias("dx"), zero.alias("dy")), F.struct(zero.alias("dx"), s["dy"].alias("dy")))))
+    return F.filter(halves, lambda s: (s["dx"] != 0) | (s["dy"] != 0))
+
+
+def convex_hull(points: Column) -> Column:
+    """Corners of the hull, counter-clockwise from the leftmost, as a ring that isn't closed; two points or fewer are their own hull.
+
+    Points are sorted and the lower and upper chains are built by dropping what turns right, in one fold each.
+    """
+
+    def chain(ps: Column) -> Column:
+        empty = F.slice(ps, 1, 0)
+
+        def push(kept: Column, p: Column) -> Column:
+            # a corner goes while the way over it doesn't turn left
+            stays = lambda s: (F.size(s) >= 2) & (turn(F.element_at(s, -2), F.element_at(s, -1), p) <= 0)
+            drop = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(kept), F.lit(1))), kept, lambda s, _: F.when(stays(s), F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0)))).otherwise(s))
+            return F.concat(drop, F.array(p))
+
+        return F.aggregate(ps, empty, push)
+
+    ps = F.array_sort(F.array_distinct(points))
+    lower, upper = chain(ps), chain(F.reverse(ps))
+    body = lambda c: F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0)))
+    return F.when(F.size(ps) <= 2, ps).otherwise(F.concat(body(lower), body(upper)))

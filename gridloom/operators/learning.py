@@ -1,21 +1,24 @@
 """Learning on feature vectors: nearest centroids, self-organising maps, clustering, components, classifiers."""
 
-from itertools import islice
+from dataclasses import dataclass
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import arrays
 from .graph import saved
+from .stats import agreement
 
 #: Most components that a covariance on the driver may have.
 DIMENSIONS = 4096
@@ -98,6 +101,97 @@ def classified(frame: DataFrame, features: str, label: str, kind: str = "logisti
     return out.withColumn("predicted", F.col("prediction").cast("int")).withColumn("confidence", F.array_max(vector_to_array("probability"))).drop("_v", "_y", "rawPrediction", "probability", "prediction")
 
 
+# Models that are trained once, kept, and applied to other tables.
+
+
+@dataclass
+class Trained:
+    """A fitted pipeline on the column of vectors, and the names of the classes that it numbers from 0."""
+
+    pipeline: PipelineModel
+    classes: list
+
+
+def _estimator(kind: str, classes: int, dims: int, seed: int):
+    own = {"featuresCol": "_v", "labelCol": "_y"}
+    if kind == "logistic":
+        return LogisticRegression(**own, maxIter=50, regParam=0.01)
+    if kind == "forest":
+        return RandomForestClassifier(**own, numTrees=20, seed=seed)
+    if kind == "tree":
+        return DecisionTreeClassifier(**own, seed=seed)
+    if kind == "bayes":
+        return NaiveBayes(**own, modelType="gaussian")
+    if kind == "perceptron":
+        return MultilayerPerceptronClassifier(**own, layers=[dims, 8, classes], seed=seed, maxIter=100)
+    if kind == "vote":  # one machine with a margin for each class
+        return OneVsRest(**own, classifier=LinearSVC(maxIter=30))
+    raise ValueError(kind)
+
+
+def train(frame: DataFrame, features: str, label: str, kind: str = "logistic", seed: int = 7) -> Trained:
+    """A classifier of the rows with a label; the classes are the labels that occur, in order."""
+    known = frame.where(F.col(label).isNotNull())
+    classes = sorted(r[0] for r in known.select(label).distinct().collect())
+    dims = known.select(F.size(features)).first()[0]
+    place = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
+    v = _vectors(known, features).withColumn("_y", place.cast("double"))
+    return Trained(Pipeline(stages=[_estimator(kind, len(classes), dims, seed)]).fit(v.select("_v", "_y")), classes)
+
+
+def save(model: Trained, path: str) -> None:
+    """Writes a model to a folder: the pipeline, and its classes as a table."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    spark = SparkSession.active()
+    spark.createDataFrame([(k, c) for k, c in enumerate(model.classes)], ["place", "class"]).coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
+
+
+def load(path: str) -> Trained:
+    classes = SparkSession.active().read.parquet(f"{path}/classes").orderBy("place").collect()
+    return Trained(PipelineModel.load(f"{path}/pipeline"), [r["class"] for r in classes])
+
+
+def apply(model: Trained, frame: DataFrame, features: str) -> DataFrame:
+    """``frame`` with the class ``predicted`` for each row and its ``confidence`` (null for models that give none)."""
+    names = frame.columns
+    out = model.pipeline.transform(_vectors(frame, features))
+    sure = F.array_max(vector_to_array("probability")) if "probability" in out.columns else F.lit(None).cast("double")
+    whole = all(isinstance(c, int) for c in model.classes)
+    kind = "int" if whole and all(abs(c) < 1 << 31 for c in model.classes) else "long" if whole else "string"
+    cls = F.element_at(F.array(*[F.lit(c).cast(kind) for c in model.classes]), (F.col("prediction") + 1).cast("int"))
+    return out.select(*names, cls.alias("predicted"), sure.alias("confidence"))
+
+
+def validated(model: Trained, frame: DataFrame, features: str, label: str) -> DataFrame:
+    """Precision, recall and F-score of each class on labelled rows."""
+    return agreement(apply(model, frame.where(F.col(label).isNotNull()), features), label, "predicted")
+
+
+def selected_features(frame: DataFrame, features: str, label: str, count: int) -> list[int]:
+    """Places of ``count`` features that tell the classes apart, chosen one by one by the Jeffries-Matusita distance of the
+    Gaussian classes (the least over pairs of classes). Only sums per class reach the driver."""
+    classes = {}
+    for k in sorted(r[0] for r in frame.select(label).distinct().collect() if r[0] is not None):
+        _, mean, square = second_moments(frame.where(F.col(label) == k), features)
+        classes[k] = mean, square - np.outer(mean, mean) + 1e-9 * np.eye(len(mean))
+    dims = len(next(iter(classes.values()))[0]) if classes else 0
+
+    def apart(places: list[int]) -> float:
+        low = 2.0
+        for (m, c), (n, d) in combinations(classes.values(), 2):
+            i = np.ix_(places, places)
+            both = (c[i] + d[i]) / 2
+            off = (m - n)[places]
+            b = off @ np.linalg.solve(both, off) / 8 + 0.5 * (np.linalg.slogdet(both)[1] - 0.5 * (np.linalg.slogdet(c[i])[1] + np.linalg.slogdet(d[i])[1]))
+            low = min(low, 2 * (1 - np.exp(-b)))
+        return low
+
+    chosen: list[int] = []
+    while len(chosen) < min(count, dims):
+        chosen.append(max((k for k in range(dims) if k not in chosen), key=lambda k: (apart([*chosen, k]), -k)))
+    return chosen
+
+
 def regressed(frame: DataFrame, features: list[str], target: str) -> DataFrame:
     """Linear prediction of a target from plain columns."""
     v = frame.withColumn("_v", array_to_vector(F.array(*[F.col(f).cast("double") for f in features])))

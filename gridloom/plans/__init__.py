@@ -31,4 +31,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from . import colour, extras, filters, imagery, learning, objects, projections, raster, scalars, spatial  # noqa: F401
+    from . import colour, extras, filters, imagery, learning, objects, projections, raster, relational, scalars, spatial, vectors  # noqa: F401
