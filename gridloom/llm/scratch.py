@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+#: Has Spark delete a query's shuffle files when it ends; what is written is read from the table from then on.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; only where none is set (tests, one machine) a temporary one."""
+    """The session's checkpoint folder. Where none is set, a temporary one, on one machine only: other nodes couldn't read it."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="gridloom-")
@@ -26,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Writes intermediate results as Parquet tables, so that a lost executor costs no recomputation, and drops them again.
 
-    ``keep`` is for tables that the returned, still lazy frame reads; those go when the process ends.
+    What the returned, still lazy frame reads goes when the process ends.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -37,9 +40,14 @@ class Scratch:
         atexit.register(self._delete, self.root)
 
     def write(self, frame: DataFrame, name: str = "t") -> str:
-        path = f"{self.root}/{self._n:03d}-{name}"
+        path = f"{self.root}/{name}/{self._n:03d}"
         self._n += 1
-        frame.write.parquet(path, compression="zstd")
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            frame.write.parquet(path, compression="zstd")
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         self._open.setdefault(name, []).append(path)
         return path
 
@@ -47,13 +55,21 @@ class Scratch:
         schema = frame.schema
         return self.spark.read.schema(schema).parquet(self.write(frame, name))
 
+    def add(self, frame: DataFrame, name: str) -> DataFrame:
+        """Adds rows to what has been written under this name; returns all of it, as one table."""
+        schema = frame.schema
+        self.write(frame, name)
+        return self.spark.read.schema(schema).parquet(*self._open[name])
+
+    def rows(self, name: str) -> int:
+        """Rows that have been written under this name, from the files' own counts."""
+        return self.spark.read.parquet(*self._open[name]).count() if name in self._open else 0
+
     def release(self, *names: str) -> None:
-        """Drops the tables of these names, and lets Spark drop the shuffle files that nothing refers to any more."""
+        """Drops the tables of these names."""
         for name in names:
             for path in self._open.pop(name, []):
                 self._delete(path)
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
 
     def drop(self, path: str) -> None:
         self._delete(path)
