@@ -8,14 +8,17 @@ these agree. Loopy message passing, until the messages of a document settle, spr
 fixed, to tokens that no pattern takes by itself, such as a telephone number repeated without its '+'. All documents of a slice
 are passed at once as one graph.
 
-The field is trained piecewise: node weights by multinomial logistic regression, chain and skip potentials from how
-often labels meet, over a bounded sample of documents whose labels are the base spans.
+The field is trained piecewise over all documents, whose labels are the base spans: node weights by multinomial
+logistic regression, chain and skip potentials from how often labels meet. A token without a base span that is like one
+with a base span is what the field has to find, so it is no example of anything there. All features are yes or no, so
+what training needs are counts of (features, label) and of pairs of labels: each task sends those, and no text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 from . import textops
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the field is trained on at most.
-TRAIN_DOCUMENTS = 1000
+#: Pairs of like tokens of each label that training takes as seen before it counts: a corpus may hold no repeats to learn from.
+SAME = 50
 #: Messages have settled when none of the document's moves by more in a round.
 SETTLED = 1e-3
 #: Rounds that a document may take besides two for each of its nodes, of which no path has more.
@@ -39,13 +42,29 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NODE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_KEY = re.compile("[0-9@]")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _DIGIT = re.compile(r"[0-9]")
+_LETTER = re.compile(r"[^\W\d_]")
+_MARK = re.compile("[\"'=:/]")
 
 Span = tuple[int, int, int]
 
 
+def _nodes(text: str) -> Iterator[tuple[int, int]]:
+    """Words that hold a digit or '@', found from those outwards: linear in the text."""
+    end, hit = 0, _KEY.search(text)
+    while hit:
+        start = hit.start()
+        while start > end and not _SPACE.match(text, start - 1):
+            start -= 1
+        space = _SPACE.search(text, hit.end())
+        end = space.start() if space else len(text)
+        yield start, end
+        hit = _KEY.search(text, end)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, c in enumerate(reversed(digits)):
@@ -96,30 +115,22 @@ def base_spans(text: str | None) -> list[Span]:
 FEATURES = 22
 
 
-def _features(token: str, before: str) -> np.ndarray:
+def _features(token: str, before: str) -> int:
+    """The yes-or-no features of a token and the one right before it, as bits."""
     digits = _NOT_DIGIT.sub("", token)
-    n, letters = len(digits), sum(c.isalpha() for c in token)
-    dots = token.count(".")
-    tail = token.partition("@")[2]
-    f = np.zeros(FEATURES)
-    f[0] = 1
-    f[1] = "@" in token
-    f[2] = "." in tail.rstrip(".")
-    f[3] = "@" in token and token[0] == "@"
-    f[4] = n > 0 and letters == 0
-    f[5] = letters > 0
-    f[6] = dots == 3 and letters == 0
-    f[7] = dots == 3 and letters == 0 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in re.sub("[^0-9.]", "", token).split("."))
-    f[8 + (0 if n < 4 else 1 if n < 7 else 2 if n < 10 else 3 if n < 16 else 4 if n < 20 else 5)] = 1
-    f[14] = 16 <= n <= 19 and luhn(digits)
-    f[15] = "(" in token and ")" in token
-    f[16] = "-" in token
-    f[17] = token[0] == "+"
-    f[18] = before[:1] == "+"
-    f[19] = ")" in before
-    f[20] = any(c in "\"'=:/" for c in token)
-    f[21] = n == 0
-    return f
+    n, letters = len(digits), len(_LETTER.findall(token))
+    dots, first = token.count("."), token[0]
+    f = 1 | (n > 0 and not letters) << 4 | (letters > 0) << 5 | 1 << 8 + (0 if n < 4 else 1 if n < 7 else 2 if n < 10 else 3 if n < 16 else 4 if n < 20 else 5) | (n == 0) << 21
+    if "@" in token:
+        f |= 2 | ("." in token.partition("@")[2].rstrip(".")) << 2 | (first == "@") << 3
+    if dots == 3 and not letters:
+        f |= 1 << 6 | all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in re.sub("[^0-9.]", "", token).split(".")) << 7
+    if 16 <= n <= 19:
+        f |= luhn(digits) << 14
+    f |= ("(" in token and ")" in token) << 15 | ("-" in token) << 16 | (first == "+") << 17
+    if before:
+        f |= (before[0] == "+") << 18 | (")" in before) << 19
+    return f | (_MARK.search(token) is not None) << 20
 
 
 def _likeness(token: str) -> str:
@@ -132,19 +143,29 @@ def _likeness(token: str) -> str:
     return digits[-7:] if len(digits) >= 7 else ""
 
 
+_PLACE = 1 << np.arange(FEATURES, dtype=np.int64)
+
+
 @dataclass
 class Graph:
-    features: np.ndarray
+    #: Features of each node as bits.
+    bits: np.ndarray
     fixed: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
     place: list[tuple[int, int, int]]
+    #: Nodes without a label that are like one with a label.
+    unsure: np.ndarray
     #: Skip links that messages take: the hubs are numbered after the nodes.
     links: np.ndarray
     #: A hub's label, as in ``fixed``, and its document.
     hubs: np.ndarray
     hub_rows: np.ndarray
 
+    @property
+    def features(self) -> np.ndarray:
+        return ((self.bits[:, None] & _PLACE) > 0).astype(np.float64)
+
 
 def graph(texts: list[str], spans: list[list[Span]]) -> Graph:
     """Nodes of several documents and their links; ``fixed`` is a node's label (0: none, 1 + kind) or -1."""
@@ -153,12 +174,11 @@ def graph(texts: list[str], spans: list[list[Span]]) -> Graph:
         by_start = sorted((a, b, k) for k, a, b in found)
         alike: dict[str, list[int]] = {}
         k, before, before_end, before_node = 0, "", -9, -1
-        for m in _NODE.finditer(text):
-            a, b = m.span()
+        for a, b in _nodes(text):
             while k < len(by_start) and by_start[k][1] <= a:
                 k += 1
             node = len(fixed)
-            token = m.group()
+            token = text[a:b]
             label = 1 + by_start[k][2] if k < len(by_start) and by_start[k][0] < b else -1
             features.append(_features(token, before if a - before_end <= 1 else ""))
             fixed.append(label)
@@ -173,7 +193,10 @@ def graph(texts: list[str], spans: list[list[Span]]) -> Graph:
             before, before_end, before_node = token, b, node
         groups += [(row, own) for own in alike.values() if len(own) > 1]
     links, hubs, hub_rows = [], [], []
+    unsure = np.zeros(len(fixed), bool)
     for row, own in groups:
+        if any(fixed[k] >= 0 for k in own):
+            unsure[[k for k in own if fixed[k] < 0]] = True
         if len(own) == 2:
             links.append((own[0], own[1]))
             continue
@@ -182,7 +205,8 @@ def graph(texts: list[str], spans: list[list[Span]]) -> Graph:
         hubs.append(known.pop() if len(known) == 1 else -1)
         hub_rows.append(row)
     pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
-    return Graph(np.array(features).reshape(-1, FEATURES), np.array(fixed, np.int64), pairs(chain), pairs(skip), place, pairs(links), np.array(hubs, np.int64), np.array(hub_rows, np.int64))
+    bits = np.array(features, np.int64)
+    return Graph(bits, np.array(fixed, np.int64), pairs(chain), pairs(skip), place, unsure, pairs(links), np.array(hubs, np.int64), np.array(hub_rows, np.int64))
 
 
 @dataclass
@@ -193,13 +217,13 @@ class Field:
 
     def beliefs(self, g: Graph) -> np.ndarray:
         """Posterior of each node's label by sum-product in log space; each document's messages go on until they settle."""
-        labels = len(KINDS) + 1
+        labels = LABELS
         nodes = len(g.fixed)
         fixed = np.concatenate((g.fixed, g.hubs))
         local = np.concatenate((g.features @ self.node, np.zeros((len(g.hubs), labels))))
         held = fixed >= 0
-        local[held] = -50.0
-        local[held, fixed[held]] = 50.0
+        local[held] = -1e9  # more than any number of messages can outweigh
+        local[held, fixed[held]] = 0.0
         edges = np.concatenate((g.chain, g.links))
         if len(edges):
             table = np.concatenate((np.repeat(self.chain[None], len(g.chain), 0), np.repeat(self.skip[None], len(g.links), 0)))
@@ -232,31 +256,66 @@ class Field:
         return p / p.sum(1, keepdims=True)
 
 
-def train(texts: list[str]) -> Field:
-    """Piecewise training on documents whose base spans are the labels. Without any node: a field that labels nothing."""
-    labels = len(KINDS) + 1
+LABELS = len(KINDS) + 1
+
+
+def evidence(texts: list[str]) -> Counter[tuple[int, int, int]]:
+    """Counts of what training needs: (0, features as bits, label) of nodes, (1, label, label) of neighbours, (2, label, label) of like tokens."""
     g = graph(texts, [base_spans(t) for t in texts])
-    y = np.maximum(g.fixed, 0)
-    node = np.zeros((FEATURES, labels))
-    if len(y):
-        goal = np.eye(labels)[y]
+    y, sure = np.maximum(g.fixed, 0), ~g.unsure
+    out: Counter[tuple[int, int, int]] = Counter()
+    for kind, rows in ((0, np.stack((g.bits, y), 1)[sure]), *((k, y[x[sure[x].all(1)]]) for k, x in ((1, g.chain), (2, g.skip)))):
+        values, n = np.unique(rows, axis=0, return_counts=True)
+        out.update({(kind, int(a), int(b)): int(c) for (a, b), c in zip(values, n, strict=True)})
+    return out
+
+
+def fit(counts: dict[tuple[int, int, int], int]) -> Field:
+    """Piecewise training from ``evidence``. Without any node: a field that labels nothing."""
+    nodes = sorted((a, b, n) for (kind, a, b), n in counts.items() if kind == 0)
+    node = np.zeros((FEATURES, LABELS))
+    if nodes:
+        bits, y, n = np.array(nodes, np.int64).T
+        x, share = ((bits[:, None] & _PLACE) > 0).astype(np.float64), n / n.sum()
+        goal = np.eye(LABELS)[y] * share[:, None]
         for step in range(400):
-            z = g.features @ node
+            z = x @ node
             z -= z.max(1, keepdims=True)
             p = np.exp(z)
-            p /= p.sum(1, keepdims=True)
-            node -= (2.0 / (1 + step / 100)) * (g.features.T @ (p - goal) / len(y) + 1e-3 * node)
+            p *= (share / p.sum(1))[:, None]
+            node -= (2.0 / (1 + step / 100)) * (x.T @ (p - goal) + 1e-3 * node)
     else:
         node[0, 0] = 5.0
 
-    def potential(pairs: np.ndarray, prior: np.ndarray) -> np.ndarray:
-        n = prior.copy()
-        np.add.at(n, (y[pairs[:, 0]], y[pairs[:, 1]]), 1)
-        n = n + n.T
-        share = n.sum(1) / n.sum()
-        return np.log(n / n.sum()) - np.log(share)[:, None] - np.log(share)[None]
+    def potential(kind: int, prior: np.ndarray) -> np.ndarray:
+        m = prior.copy()
+        for (of, a, b), k in counts.items():
+            if of == kind:
+                m[a, b] += k
+        m = m + m.T
+        share = m.sum(1) / m.sum()
+        return np.log(m / m.sum()) - np.log(share)[:, None] - np.log(share)[None]
 
-    return Field(node, potential(g.chain, np.full((labels, labels), 1.0)), potential(g.skip, np.full((labels, labels), 0.1) + 5 * np.eye(labels)))
+    return Field(node, potential(1, np.full((LABELS, LABELS), 1.0)), potential(2, np.full((LABELS, LABELS), 0.1) + SAME * np.eye(LABELS)))
+
+
+def train(texts: list[str]) -> Field:
+    """The field of a few texts."""
+    return fit(evidence(texts))
+
+
+def train_on(documents: DataFrame, text_column: str = "text") -> Field:
+    """The field of all documents: one pass, of which each task sends counts alone (some thousands at most)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[int, int, int]] = Counter()
+        for part in textops.slices(batches):
+            counts.update(evidence([t for t in part.column(0).to_pylist() if t]))
+        kind, a, b = (pa.array([k[i] for k in counts], pa.int64()) for i in range(3))
+        yield pa.RecordBatch.from_arrays([kind, a, b, pa.array(counts.values(), pa.int64())], ["kind", "a", "b", "n"])
+
+    got = documents.select(F.col(text_column).alias("text")).mapInArrow(rows, "kind long, a long, b long, n long")
+    return fit({(r["kind"], r["a"], r["b"]): r["n"] for r in got.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect()})
 
 
 def added_spans(texts: list[str], spans: list[list[Span]], field: Field, confidence: float = 0.5) -> list[list[Span]]:
@@ -286,17 +345,6 @@ def added_spans(texts: list[str], spans: list[list[Span]], field: Field, confide
     return [[s for s in own if enough(text, s[1], s[2])] for text, own in zip(texts, out, strict=True)]
 
 
-def sample_texts(documents: DataFrame, limit: int = TRAIN_DOCUMENTS) -> list[str]:
-    """The bounded training sample: ``limit`` texts at most that hold a digit or '@', by a hash of id and text.
-
-    The hash is held against a bound that the number of rows sets, so that no task sends more than its share.
-    """
-    h = F.xxhash64("doc_id", "text")
-    share = min(1.0, 8.0 * limit / max(1, documents.count()))
-    rows = documents.where(F.pmod(h, F.lit(1 << 30)) < int(share * (1 << 30))).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 20000))
-    return [r[0] for r in rows.select("text", h.alias("h")).orderBy("h", "text").limit(limit).collect()]
-
-
 def _written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
@@ -359,5 +407,5 @@ def mask(documents: DataFrame, field: Field) -> DataFrame:
 
 
 def find_all(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """Trains the field on the bounded sample and applies it to every row."""
-    return find(documents, train(sample_texts(documents)))
+    """Trains the field on all rows and applies it to every row."""
+    return find(documents, train_on(documents))

@@ -1,7 +1,9 @@
 import hashlib
+import itertools
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -95,6 +97,47 @@ def test_field_applies_to_documents_without_a_base_span(spark):
     assert {r["text"] for r in pii.mask(f, field).collect()} == {"ask [PHONE] now", "nothing"}
 
 
+@pytest.mark.parametrize("n", [1, 5, 30, 200])
+def test_a_trained_field_finds_every_repeat_of_a_number(n):
+    for repeat in ("(743) 555-3824", "7435553824", "555-3824"):
+        text = "call +1 (743) 555-3824 now" + f" or {repeat} then" * n
+        assert added(text) == [repeat] * n
+
+
+def test_training_takes_no_unmatched_repeat_as_a_negative(spark):
+    texts = ["call +1 (743) 555-3824 or 555-3824 or 12345", None, "", "mail a@b.co a@b.co 9"]
+    counts = pii.evidence([t for t in texts if t])
+    assert sum(n for (kind, _, label), n in counts.items() if kind == 0 and label == 0) == 2  # 12345 and 9
+    assert {k: n for k, n in counts.items() if k[0] == 2} == {(2, 1, 1): 1}
+    a, b = pii.train_on(frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])), pii.fit(counts)
+    assert all(np.allclose(getattr(a, x), getattr(b, x)) for x in ("node", "chain", "skip"))
+
+
+def exact(g, field):
+    """Posteriors by enumeration of all labellings; a hub is a variable of its own."""
+    n = len(g.fixed)
+    fixed = [*g.fixed, *g.hubs]
+    local = np.concatenate((g.features @ field.node, np.zeros((len(g.hubs), 5))))
+    total = np.zeros((n, 5))
+    for y in itertools.product(*(range(5) if f < 0 else [f] for f in fixed)):
+        score = sum(local[k, v] for k, v in enumerate(y)) + sum(field.chain[y[a], y[b]] for a, b in g.chain) + sum(field.skip[y[a], y[b]] for a, b in g.links)
+        total[range(n), y[:n]] += np.exp(score)
+    return total / total.sum(1, keepdims=True)
+
+
+def test_beliefs_against_enumeration():
+    rng = np.random.default_rng(1)
+    table = lambda: (lambda m: m + m.T)(rng.normal(size=(5, 5)) / 2)
+    for text in ("7 8 9", "+1 (743) 555-3824 x 555-3824", "5553824 or 5553824 or 5553824 7", "a@b.co x 12 34 and 'a@b.co' 5"):
+        g = pii.graph([text], [pii.base_spans(text)])
+        field = pii.Field(rng.normal(size=(pii.FEATURES, 5)), table(), table())
+        assert np.allclose(field.beliefs(g), exact(g, field), atol=5e-3)  # no loops here, so messages are exact
+    text = "5553824 7 x 5553824 8 x 5553824 9 7"
+    g = pii.graph([text], [[]])
+    field = pii.Field(rng.normal(size=(pii.FEATURES, 5)), table(), table())
+    assert np.abs(field.beliefs(g) - exact(g, field)).max() < 0.1
+
+
 def test_labels_reach_far_repeats_and_far_neighbours():
     bias = np.zeros((pii.FEATURES, 5))
     bias[0, 0] = 3.0
