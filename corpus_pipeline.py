@@ -6,9 +6,11 @@ Every stage takes (spark, docs, sf_dir) and works on all that its predecessor ke
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.llm import decontaminate, mixing, pii, quality
-from gridloom.llm.jaccard_join import JaccardJoin
+from gridloom.llm.jaccard_join import JaccardJoin, text_hash
+from gridloom.llm.rows import one_of_each
 from gridloom.llm.scratch import Scratch
 from gridloom.session import ship
 
@@ -17,15 +19,20 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained quality classifier keeps."""
     ship(spark)
     model = quality.train(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model).where("keep").select(*docs.columns)
+    return quality.kept(docs, model)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group of linked texts, once; rows without an id stay."""
+    """One document of each group of linked texts (the smallest id; one without an id only where no other is), once; empty texts stay.
+
+    Different texts of one id are different documents. Of rows that repeat an id and its text the least by the other columns stays.
+    """
     ship(spark)
-    kept = JaccardJoin(spark, docs).run().where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id").select(*docs.columns).dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id is null"))
+    kept = JaccardJoin(spark, docs).keepers()
+    keyed = lambda frame, hashed: frame.select("*", F.coalesce("doc_id", F.lit(0)).cast("long").alias("__id"), F.col("doc_id").isNull().alias("__none"), hashed.alias("__text"))
+    on = ["__id", "__none", "__text"]
+    rows = keyed(docs, text_hash(F.col("text"))).join(keyed(kept, F.col("text_hash")).select(*on), on)
+    return one_of_each(rows, on)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +44,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data masked by kind."""
     ship(spark)
-    return pii.mask(docs, pii.train(pii.sample_texts(docs)))
+    return pii.mask(docs, pii.train_on(docs))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
