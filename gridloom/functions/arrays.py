@@ -60,3 +60,45 @@ def last_argmin(values: Column) -> Column:
 def first_argmax(values: Column) -> Column:
     """0-based place of the largest component, the first of equal ones."""
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")
+
+
+def axpy(alpha: float, x: Column, y: Column) -> Column:
+    """alpha x + y, element by element."""
+    return F.zip_with(x, y, lambda p, q: F.lit(float(alpha)) * p + q)
+
+
+def matrix_times(rows: list[list[float]], x: Column) -> Column:
+    """Product of a fixed matrix and a vector."""
+    return F.array(*[dot(F.array(*[F.lit(float(v)) for v in r]), x) for r in rows])
+
+
+def softmax(x: Column) -> Column:
+    """Exponentials over their sum; the largest is taken off first."""
+    top = F.array_max(x)
+    e = F.transform(x, lambda v: F.exp(v - top))
+    return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda s, w: s + w))
+
+
+def shares(x: Column) -> Column:
+    """A vector over the sum of its elements' sizes; a zero vector stays."""
+    n = F.aggregate(x, F.lit(0.0), lambda s, v: s + F.abs(v))
+    return F.transform(x, lambda v: F.when(n > 0, v / n).otherwise(0.0))
+
+
+def entropy(p: Column) -> Column:
+    """-sum p ln p; zeros count nothing."""
+    return -F.aggregate(p, F.lit(0.0), lambda s, v: s + F.when(v > 0, v * F.ln(F.when(v > 0, v))).otherwise(0.0))
+
+
+def radial_basis(x: Column, centre: Column, radius: float) -> Column:
+    """Gaussian of the distance from a centre."""
+    return F.exp(-F.aggregate(F.zip_with(x, centre, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v) / F.lit(2.0 * radius * radius))
+
+
+def mean_squared(errors: Column) -> Column:
+    return F.aggregate(errors, F.lit(0.0), lambda s, v: s + v * v) / F.size(errors)
+
+
+def poisson_loss(count: Column, rate: Column) -> Column:
+    """Negative log-likelihood of a count under a rate, without the term of the count alone."""
+    return rate - count * F.ln(rate)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -23,14 +24,22 @@ def dropped(*frames: DataFrame) -> None:
         spark = frame.sparkSession
         for path in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
             if "/graph-" in path:
-                where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+                _delete(spark, path)
+
+
+def _delete(spark, path: str) -> None:
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the context has ended; the cluster's own cleaning takes the folder
+        pass
 
 
 def saved(frame: DataFrame) -> DataFrame:
-    """A table in the session's shared checkpoint folder, which cuts the lineage of a loop."""
+    """A table in the session's shared checkpoint folder, which cuts the lineage of a loop; it goes when the process ends."""
     path = _folder(frame)
     frame.write.parquet(path)
+    atexit.register(_delete, frame.sparkSession, path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
