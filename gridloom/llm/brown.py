@@ -11,8 +11,11 @@ the first word. Counting is distributed and covers every training text:
   their ending. Counts of unit bigrams form one matrix of fixed size, added up over tasks.
 
 Exchange clustering then moves each unit to the class that raises the likelihood of the class bigrams most, until a sweep
-moves nothing, on that matrix. A class's emission probability of a word is (c + 1) / (N + V + 1) with the class's tokens N
-and distinct words V, so every class keeps the place of one unknown word; transitions are smoothed by Witten-Bell.
+moves nothing, on that matrix. Every further word of the head is then exchanged on its own: one more pass counts
+the classes on its left and right, and it goes to the class that raises the likelihood most. Words of the tail, less than one
+token in a million each, stay with their group. A last pass counts the bigrams of the final classes. A class's emission
+probability of a word is (c + 1) / (N + V + 1) with the class's tokens N and distinct words V, so every class keeps the
+place of one unknown word; transitions are smoothed by Witten-Bell.
 """
 
 from __future__ import annotations
@@ -93,6 +96,18 @@ class Head:
         own[HEAD_UNITS:] = [tail_unit(w) for w in self.words[HEAD_UNITS:]]
         return own
 
+    def path(self, words: list[bytes], of_rank: np.ndarray, of_unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of the words of a text (the head's size for others) and the classes of the words, an end before and after them."""
+        size = len(self.words)
+        rank = np.fromiter(map(self.rank.get, words, repeat(size)), np.int64, len(words))
+        classes = np.zeros(len(words) + 2, np.int64)
+        known = rank < size
+        classes[1:-1][known] = of_rank[rank[known]]
+        rare = np.flatnonzero(~known)
+        if len(rare):
+            classes[1 + rare] = of_unit[[tail_unit(words[k]) for k in rare]]
+        return rank, classes
+
 
 def _survey(batches, head: Head):
     """Rows of tail words by document, then this task's counts of head words and of unit bigrams."""
@@ -218,6 +233,82 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     return of
 
 
+def _contexts(batches, head: Head, of_rank: np.ndarray, of_unit: np.ndarray):
+    """For head words that are no units: how often a class stands on the left (0 on) and right (CLASSES on) of them in training texts."""
+    size, held = len(head.words), 0
+    keys: list[np.ndarray] = []
+
+    def rows():
+        nonlocal held
+        held = 0
+        at, n = np.unique(np.concatenate(keys), return_counts=True)
+        keys.clear()
+        rank, side = np.divmod(at, 2 * CLASSES)
+        first = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1])))
+        ends = pa.array(np.append(first, len(rank)), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(rank[first].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(side.astype(np.int16))), pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32)))], ["rank", "side", "n"])
+
+    for ids, texts in _texts(batches):
+        for doc, text in zip(ids, texts, strict=True):
+            if held_out(doc):
+                continue
+            rank, path = head.path(tokens(text), of_rank, of_unit)
+            at = np.flatnonzero((rank >= HEAD_UNITS) & (rank < size))
+            if len(at):
+                keys += [rank[at] * (2 * CLASSES) + path[at], rank[at] * (2 * CLASSES) + CLASSES + path[at + 2]]
+                held += 2 * len(at)
+        if held > 2_000_000:
+            yield rows()
+    if held:
+        yield rows()
+
+
+def best_class(left: np.ndarray, right: np.ndarray, table: np.ndarray, own: int) -> int:
+    """The class to which a word goes whose neighbours' classes were counted, out of class ``own``; ties to the lowest.
+
+    ``table`` has the bigrams of all words by class. A word that follows itself counts like any neighbour of its class.
+    """
+    xlogx = lambda x: x * np.log(np.maximum(x, 1e-300))
+    t = table.astype(np.float64)
+    t[own] = np.maximum(0, t[own] - right)
+    t[:, own] = np.maximum(0, t[:, own] - left)
+    rows, columns = t.sum(1) + left, t.sum(0) + right  # whatever class the word goes to, its neighbours keep these bigrams
+    l, r = np.flatnonzero(left), np.flatnonzero(right)
+    gain = (xlogx(t[:, r] + right[r]) - xlogx(t[:, r])).sum(1) + (xlogx(t[l] + left[l, None]) - xlogx(t[l])).sum(0)
+    d = np.diag(t)
+    gain += xlogx(d + right + left) - xlogx(d + right) - xlogx(d + left) + xlogx(d)
+    gain -= xlogx(rows + right.sum()) - xlogx(rows) + xlogx(columns + left.sum()) - xlogx(columns)
+    gain[0] = -np.inf
+    best = int(np.argmax(gain))
+    return best if gain[best] > gain[own] + 1e-9 else own
+
+
+def _assigned(batches, table: np.ndarray, of_rank: np.ndarray):
+    """``rank, cls`` of the words whose contexts came to this task."""
+    slot: dict[int, int] = {}
+    counts = np.zeros((1024, 2 * CLASSES))
+    for batch in batches:
+        ranks, sides, n = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+        at = np.array([slot.setdefault(k, len(slot)) for k in ranks], np.int64)
+        while len(slot) > len(counts):
+            counts = np.concatenate((counts, np.zeros_like(counts)))
+        np.add.at(counts, (np.repeat(at, sides.value_lengths().to_numpy(zero_copy_only=False)), sides.flatten().to_numpy(zero_copy_only=False)), n.flatten().to_numpy(zero_copy_only=False))
+    found = [best_class(counts[k, :CLASSES], counts[k, CLASSES:], table, int(of_rank[rank])) for rank, k in slot.items()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(slot), pa.int32()), pa.array(found, pa.int32())], ["rank", "cls"])
+
+
+def _between(batches, head: Head, of_rank: np.ndarray, of_unit: np.ndarray):
+    """Counts of the class bigrams of this task's training texts."""
+    counts = np.zeros(CLASSES * CLASSES, np.int64)
+    for ids, texts in _texts(batches):
+        for doc, text in zip(ids, texts, strict=True):
+            if not held_out(doc):
+                _, path = head.path(tokens(text), of_rank, of_unit)
+                counts += np.bincount(path[:-1] * CLASSES + path[1:], minlength=len(counts))
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["pair", "n"])
+
+
 class BrownModel:
     """Learns from the training rows of a table and scores all of its rows.
 
@@ -257,24 +348,50 @@ class BrownModel:
         for unit, n in self.tail_counts.mapInArrow(_distinct, "unit int, n long").groupBy("unit").agg(F.sum("n")).collect():
             distinct[unit] += n
         units = self.head.units()
-        np.add.at(distinct, units, counts > 0)
-        self.of = exchange(bigrams)
-        member = np.zeros((UNITS, CLASSES))
-        member[np.arange(UNITS), self.of] = 1
-        between = member.T @ bigrams @ member
-        in_class, kinds = member.T @ bigrams.sum(0), member.T @ distinct
-        texts = int(bigrams[:, 0].sum())
-        self.total, self.vocabulary = int(bigrams.sum()), int(distinct.sum()) + (texts > 0)
+        self.of_unit = exchange(bigrams)
+        self.of_rank = self.of_unit[units] if len(units) else np.zeros(0, np.int64)
+        self._exchange_words(bigrams)
+        between = self._class_bigrams()
+        kinds = np.bincount(self.of_rank, weights=counts > 0, minlength=CLASSES).astype(np.int64) if len(units) else np.zeros(CLASSES, np.int64)
+        np.add.at(kinds, self.of_unit, distinct)
+        in_class = between.sum(0)
+        texts = int(between[:, 0].sum())
+        self.total, self.vocabulary = int(between.sum()), int(kinds.sum()) + (texts > 0)
         alone = (in_class + 1) / (self.total + CLASSES)
         follows = (between > 0).sum(1, keepdims=True) + 1.0
         self.transition = np.log10((between + follows * alone) / (between.sum(1, keepdims=True) + follows))
         self.room = -np.log10(in_class + kinds + 1)
         self.room[0] = 0.0  # the end's class holds nothing else
-        self.counts, self.texts = counts, texts
+        self.counts, self.texts, self.between = counts, texts, between
+
+    def _exchange_words(self, bigrams: np.ndarray) -> None:
+        """Moves each head word that is no unit of its own to the class that its neighbours speak for."""
+        if len(self.head.words) <= HEAD_UNITS:
+            return
+        member = np.zeros((UNITS, CLASSES))
+        member[np.arange(UNITS), self.of_unit] = 1
+        table = member.T @ bigrams @ member
+        held = self.spark.sparkContext.broadcast((self.head, self.of_rank, self.of_unit))
+        seen = self.docs.mapInArrow(lambda b: _contexts(b, *held.value), "rank int, side array<smallint>, n array<int>")
+        of_rank = self.of_rank
+        found = seen.repartition(_BLOCKS, "rank").mapInArrow(lambda b: _assigned(b, table, of_rank), "rank int, cls int")
+        new = self.of_rank.copy()
+        for r in found.collect():  # one row a head word
+            new[r["rank"]] = r["cls"]
+        self.of_rank = new
+        held.destroy()
+
+    def _class_bigrams(self) -> np.ndarray:
+        held = self.spark.sparkContext.broadcast((self.head, self.of_rank, self.of_unit))
+        out = np.zeros(CLASSES * CLASSES, np.int64)
+        for r in self.docs.mapInArrow(lambda b: _between(b, *held.value), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+            out[r["pair"]] = r["n"]
+        held.destroy()
+        return out.reshape(CLASSES, CLASSES)
 
     def scores(self) -> DataFrame:
         """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` for every row."""
-        held = self.spark.sparkContext.broadcast((self.head, self.of, np.log10(self.counts + 1.0), self.counts > 0, self.transition, self.room, self.texts))
+        held = self.spark.sparkContext.broadcast((self.head, self.of_rank, self.of_unit, np.log10(self.counts + 1.0), self.counts > 0, self.transition, self.room, self.texts))
         columns = "doc_id long, text_hash long, held_out boolean, n_tokens long, n_known long, known_log double, class_log double"
         own = self.docs.mapInArrow(lambda b: _scored(b, *held.value), columns)
         rows = self.tail.join(self.tail_counts, "word", "left")
@@ -300,24 +417,14 @@ def _distinct(batches):
     yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["unit", "n"])
 
 
-def _scored(batches, head: Head, of: np.ndarray, logs: np.ndarray, known: np.ndarray, transition: np.ndarray, room: np.ndarray, texts: int):
-    size = len(head.words)
-    classes = np.concatenate((of[head.units()], [0]))
+def _scored(batches, head: Head, of_rank: np.ndarray, of_unit: np.ndarray, logs: np.ndarray, known: np.ndarray, transition: np.ndarray, room: np.ndarray, texts: int):
     logs, known = np.concatenate((logs, [0.0])), np.concatenate((known, [False]))
-    get = head.rank.get
-    by_ending = of[1 + HEAD_UNITS :]
     for ids, docs in _texts(batches):
         out: list[list] = [[] for _ in range(7)]
         for doc, text in zip(ids, docs, strict=True):
             words = tokens(text)
-            n = len(words)
-            rank = np.fromiter(map(get, words, repeat(size)), np.int64, n)
-            path = np.zeros(n + 2, np.int64)
-            path[1:-1] = classes[rank]
-            rare = np.flatnonzero(rank == size)
-            if len(rare):
-                path[1 + rare] = by_ending[[tail_unit(words[k]) - 1 - HEAD_UNITS for k in rare]]
-            values = (doc, xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63), held_out(doc), n + 1, int(known[rank].sum()) + (texts > 0), float(logs[rank].sum()), float(transition[path[:-1], path[1:]].sum() + room[path[1:]].sum()))
+            rank, path = head.path(words, of_rank, of_unit)
+            values = (doc, xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63), held_out(doc), len(words) + 1, int(known[rank].sum()) + (texts > 0), float(logs[rank].sum()), float(transition[path[:-1], path[1:]].sum() + room[path[1:]].sum()))
             for column, x in zip(out, values, strict=True):
                 column.append(x)
         kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]

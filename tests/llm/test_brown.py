@@ -36,6 +36,74 @@ def test_counts_and_base(spark, monkeypatch, bits):
     assert all(r["score"] < 0 and r["perplexity"] > 1 for r in got)
 
 
+def plain_scores(model, rows):
+    """Scores by the definitions, given the class of each word."""
+
+    def cls(w):
+        w = w.encode()
+        return int(model.of_rank[model.head.rank[w]] if w in model.head.rank else model.of_unit[brown.tail_unit(w)])
+
+    train = [words(t) for d, t, *_ in rows if not brown.held_out(d)]
+    between, in_class, counts = Counter(), Counter(), Counter()
+    for w in train:
+        path = [0, *map(cls, w), 0]
+        between.update(zip(path, path[1:]))
+        in_class.update(path[1:])
+        counts.update(w)
+    total, kinds = sum(in_class.values()), Counter(map(cls, counts))
+    out = []
+    for d, t, *_ in rows:
+        w = words(t)
+        path, logs = [0, *map(cls, w), 0], 0.0
+        for a, b in zip(path, path[1:]):
+            n, k = sum(between[a, x] for x in range(CLASSES)), sum(between[a, x] > 0 for x in range(CLASSES)) + 1
+            logs += math.log10((between[a, b] + k * (in_class[b] + 1) / (total + CLASSES)) / (n + k))
+        logs += sum(math.log10((counts[x] + 1) / (in_class[cls(x)] + kinds[cls(x)] + 1)) for x in w)
+        out.append((d, round(logs, 5)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("bits", [20, 4])
+def test_scores_against_a_plain_version(spark, monkeypatch, bits):
+    monkeypatch.setattr(brown, "HEAD_BITS", bits)
+    rows = awkward(2)
+    model = BrownModel(spark, frame(spark, rows))
+    got = sorted(((r["doc_id"], round(r["score"], 5)) for r in model.scores().collect()), key=str)
+    assert got == plain_scores(model, rows)
+
+
+def test_words_beyond_the_units_go_where_their_neighbours_say(spark):
+    # pairs "<left><right>" of 900 + 900 words, more than there are units: the two sides never mix
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(f"{'LR'[j % 2]}{rng.integers(0, 900)}x" for j in range(200)), None, None, None) for k in range(400)]
+    model = BrownModel(spark, frame(spark, rows))
+    assert len(model.head.words) > brown.HEAD_UNITS
+    side = {}
+    for w, c in zip(model.head.words, model.of_rank, strict=True):
+        side.setdefault(int(c), set()).add(w[:1])
+    assert all(len(s) == 1 for s in side.values())
+    got = {r["doc_id"]: r["score"] for r in model.scores().where("doc_id < 20").collect()}
+    assert {(d, round(x, 5)) for d, x in got.items()} <= set(plain_scores(model, rows))
+
+
+def test_best_class_has_the_greatest_likelihood():
+    rng = np.random.default_rng(4)
+    f = lambda x: (x * np.log(np.maximum(x, 1e-300))).sum()
+    for own in (1, 3, 5):
+        table = rng.integers(0, 60, (6, 6)).astype(float)
+        left, right = (np.minimum(table[:, own], rng.integers(0, 9, 6)), np.minimum(table[own], rng.integers(0, 9, 6)))
+        left[own] = right[own] = 0
+        value = []
+        for b in range(1, 6):
+            t = table.copy()
+            t[own] -= right
+            t[:, own] -= left
+            t[b] += right
+            t[:, b] += left
+            value.append(f(t) - f(t.sum(0)) - f(t.sum(1)))
+        assert brown.best_class(left, right, table, own) == 1 + int(np.argmax(value))
+
+
 def test_empty_and_all_held_out(spark):
     assert BrownModel(spark, frame(spark, [])).scores().count() == 0
     held = [(d, "a b", None, None, None) for d in range(60) if brown.held_out(d)]
