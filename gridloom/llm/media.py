@@ -8,6 +8,7 @@ The media found give the true type, correct a wrongly declared one, and carve me
 import hashlib
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
@@ -19,20 +20,29 @@ from pyspark.sql import functions as F
 
 from . import textops
 
-# Magic numbers of the formats and the place of the format's first byte before them.
+# Magic numbers, the formats that have them, and how many bytes of the format stand before them.
 MAGICS = [
-    (b"\x89PNG\r\n\x1a\n", "png"),
-    (b"\xff\xd8\xff", "jpeg"),
-    (b"GIF87a", "gif"),
-    (b"GIF89a", "gif"),
-    (b"BM", "bmp"),
-    (b"RIFF", "wav"),
-    (b".snd", "au"),
-    (b"\x1f\x8b\x08", "gzip"),
-    (b"PK\x03\x04", "zip"),
-    (b"%PDF-", "pdf"),
+    (b"\x89PNG\r\n\x1a\n", "png", 0),
+    (b"\xff\xd8\xff", "jpeg", 0),
+    (b"GIF87a", "gif", 0),
+    (b"GIF89a", "gif", 0),
+    (b"BM", "bmp", 0),
+    (b"RIFF", "riff", 0),
+    (b".snd", "au", 0),
+    (b"\x1f\x8b\x08", "gzip", 0),
+    (b"PK\x03\x04", "zip", 0),
+    (b"%PDF-", "pdf", 0),
+    (b"II*\x00", "tiff", 0),
+    (b"MM\x00*", "tiff", 0),
+    (b"OggS", "ogg", 0),
+    (b"ftyp", "mp4", 4),
 ]
-MIME = {"png": "image/png", "jpeg": "image/jpeg", "gif": "image/gif", "bmp": "image/bmp", "wav": "audio/wav", "au": "audio/basic", "gzip": "application/gzip", "zip": "application/zip", "pdf": "application/pdf"}
+# Marks that end or close a format.
+MARKS = [(b"startxref", "xref"), (b"%%EOF", "eof"), (b"PK\x05\x06", "zip end")]
+MIME = {
+    "png": "image/png", "jpeg": "image/jpeg", "gif": "image/gif", "bmp": "image/bmp", "tiff": "image/tiff", "webp": "image/webp", "wav": "audio/wav", "au": "audio/basic", "ogg": "application/ogg",
+    "mp4": "video/mp4", "gzip": "application/gzip", "zip": "application/zip", "pdf": "application/pdf",
+}
 
 
 class Media(NamedTuple):
@@ -56,7 +66,7 @@ def _png(b: memoryview, at: int) -> int | None:
 
 
 def _jpeg(b: memoryview, at: int) -> int | None:
-    p = at + 2
+    blob, p = b.obj, at + 2
     while p + 4 <= len(b):
         if b[p] != 0xFF:
             return None
@@ -71,13 +81,12 @@ def _jpeg(b: memoryview, at: int) -> int | None:
             return None
         p += 2 + size
         if code == 0xDA:  # entropy-coded data up to the next marker that is no restart and no stuffed byte
-            data = bytes(b[p:])
-            q = data.find(b"\xff")
-            while q >= 0 and q + 1 < len(data) and (data[q + 1] == 0 or 0xD0 <= data[q + 1] <= 0xD7):
-                q = data.find(b"\xff", q + 2)
+            q = blob.find(b"\xff", p)
+            while q >= 0 and q + 1 < len(b) and (b[q + 1] == 0 or 0xD0 <= b[q + 1] <= 0xD7):
+                q = blob.find(b"\xff", q + 2)
             if q < 0:
                 return None
-            p += q
+            p = q
     return p + 2 - at if p + 2 <= len(b) and b[p] == 0xFF and b[p + 1] == 0xD9 else None
 
 
@@ -114,18 +123,88 @@ def _bmp(b: memoryview, at: int) -> int | None:
     return size if offset >= 14 + head and need == size and at + size <= len(b) else None
 
 
-def _wav(b: memoryview, at: int) -> int | None:
-    if at + 12 > len(b) or bytes(b[at + 8 : at + 12]) != b"WAVE":
+def _riff(b: memoryview, at: int) -> tuple[str, int] | None:
+    """A sound (chunks of format and data) or a picture in the same container."""
+    if at + 12 > len(b):
         return None
-    end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
+    form, end = bytes(b[at + 8 : at + 12]), at + 8 + struct.unpack_from("<I", b, at + 4)[0]
     p, seen = at + 12, set()
-    if end > len(b):
+    if form not in (b"WAVE", b"WEBP") or end > len(b):
         return None
     while p + 8 <= end:
         kind, size = struct.unpack_from("<4sI", b, p)
         seen.add(kind)
         p += 8 + size + size % 2
-    return end - at if p == end and {b"fmt ", b"data"} <= seen else None
+    if p != end:
+        return None
+    if form == b"WAVE":
+        return ("wav", end - at) if {b"fmt ", b"data"} <= seen else None
+    return ("webp", end - at) if seen & {b"VP8 ", b"VP8L", b"VP8X"} else None
+
+
+def _tiff(b: memoryview, at: int) -> int | None:
+    """Walks the directories; the picture ends with the last of its directories, values and strips or tiles."""
+    order = "<" if b[at] == 0x49 else ">"
+    sizes, end, seen = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}, 8, set()
+    if at + 8 > len(b):
+        return None
+    p = struct.unpack_from(order + "I", b, at + 4)[0]
+    while p:
+        if p in seen or p < 8 or at + p + 2 > len(b):
+            return None
+        seen.add(p)
+        n = struct.unpack_from(order + "H", b, at + p)[0]
+        if not n or at + p + 6 + 12 * n > len(b):
+            return None
+        values: dict[int, tuple[int, ...]] = {}
+        for k in range(n):
+            tag, kind, count = struct.unpack_from(order + "HHI", b, at + p + 2 + 12 * k)
+            size = sizes.get(kind, 0) * count
+            if not size:
+                return None
+            place = p + 2 + 12 * k + 8 if size <= 4 else struct.unpack_from(order + "I", b, at + p + 2 + 12 * k + 8)[0]
+            if at + place + size > len(b):
+                return None
+            end = max(end, place + size)
+            if tag in (273, 279, 324, 325) and kind in (3, 4):
+                values[tag] = struct.unpack_from(order + str(count) + ("H" if kind == 3 else "I"), b, at + place)
+        for starts, lengths in ((273, 279), (324, 325)):
+            for a, length in zip(values.get(starts, ()), values.get(lengths, ()), strict=False):
+                if at + a + length > len(b):
+                    return None
+                end = max(end, a + length)
+        end = max(end, p + 6 + 12 * n)
+        p = struct.unpack_from(order + "I", b, at + p + 2 + 12 * n)[0]
+    return end if seen else None
+
+
+def _ogg(b: memoryview, at: int) -> int | None:
+    """Pages of one stream, from the one that begins it to the one that ends it."""
+    p, serial = at, None
+    while p + 27 <= len(b) and bytes(b[p : p + 5]) == b"OggS\0":
+        flags, own, n = b[p + 5], bytes(b[p + 14 : p + 18]), b[p + 26]
+        if p + 27 + n > len(b) or (serial is None) != bool(flags & 2) or serial not in (None, own):
+            return None
+        serial = own
+        p += 27 + n + sum(b[p + 27 : p + 27 + n])
+        if flags & 4:
+            return p - at if p <= len(b) else None
+    return None
+
+
+def _mp4(b: memoryview, at: int) -> int | None:
+    """Boxes one after the other, as long as their kinds are known, with a movie among them."""
+    p, seen = at, set()
+    while p + 8 <= len(b):
+        size, kind = struct.unpack_from(">I4s", b, p)
+        head = 8
+        if size == 1 and p + 16 <= len(b):
+            size, head = struct.unpack_from(">Q", b, p + 8)[0], 16
+        if kind not in (b"ftyp", b"moov", b"mdat", b"free", b"skip", b"moof", b"mfra", b"sidx", b"uuid", b"wide", b"meta", b"styp") or size < head or p + size > len(b):
+            break
+        seen.add(kind)
+        p += size
+    return p - at if {b"ftyp", b"moov"} <= seen else None
 
 
 def _au(b: memoryview, at: int) -> int | None:
@@ -148,25 +227,24 @@ def _gzip(b: memoryview, at: int) -> int | None:
     return min(p, len(b)) - len(d.unused_data) - at if d.eof else None
 
 
-def _zip(b: memoryview, at: int) -> int | None:
-    data = bytes(b[at:])
-    p = data.find(b"PK\x05\x06")
-    while p >= 0 and p + 22 <= len(data):
-        size, offset, note = struct.unpack_from("<IIH", data, p + 12)
-        if size + offset == p and data[offset : offset + 4] == b"PK\x01\x02" and p + 22 + note <= len(data):
-            return p + 22 + note
-        p = data.find(b"PK\x05\x06", p + 4)
-    return None
+def _zip_starts(b: memoryview, ends: list[int]) -> dict[int, int]:
+    """Where the archives start that the end records found close, and where they end; the first record of a start counts."""
+    out: dict[int, int] = {}
+    for p in ends:
+        if p + 22 <= len(b):
+            size, offset, note = struct.unpack_from("<IIH", b, p + 12)
+            at = p - size - offset
+            if at >= 0 and bytes(b[at + offset : at + offset + 4]) == b"PK\x01\x02" and p + 22 + note <= len(b):
+                out.setdefault(at, p + 22 + note)
+    return out
 
 
-def _pdf(b: memoryview, at: int) -> int | None:
-    data = bytes(b[at:])
-    start = data.find(b"startxref")
-    end = data.find(b"%%EOF", max(start, 0))
-    return end + 5 if 0 < start < end else None
+def _next(places: list[int], at: int) -> int | None:
+    k = bisect_left(places, at)
+    return places[k] if k < len(places) else None
 
 
-_CHECK = {"png": _png, "jpeg": _jpeg, "gif": _gif, "bmp": _bmp, "wav": _wav, "au": _au, "gzip": _gzip, "zip": _zip, "pdf": _pdf}
+_CHECK = {"png": _png, "jpeg": _jpeg, "gif": _gif, "bmp": _bmp, "au": _au, "gzip": _gzip, "tiff": _tiff, "ogg": _ogg, "mp4": _mp4}
 
 
 @cache
@@ -174,8 +252,10 @@ def _automaton():
     import ahocorasick
 
     out = ahocorasick.Automaton()
-    for magic, kind in MAGICS:
-        out.add_word(magic.decode("latin-1"), (kind, len(magic)))
+    for magic, kind, before in MAGICS:
+        out.add_word(magic.decode("latin-1"), (kind, len(magic) + before, True))
+    for mark, kind in MARKS:
+        out.add_word(mark.decode("latin-1"), (kind, len(mark), False))
     out.make_automaton()
     return out
 
@@ -185,10 +265,31 @@ def sniff(blob: bytes | None) -> list[Media]:
     found: list[Media] = []
     if not blob:
         return found
+    blob = bytes(blob)
     view, end = memoryview(blob), 0
-    for last, (kind, size) in _automaton().iter(blob.decode("latin-1")):
-        at = last - size + 1
-        if at >= end and (length := _CHECK[kind](view, at)):
+    hits: list[tuple[int, str]] = []
+    marks: dict[str, list[int]] = {kind: [] for _, kind in MARKS}
+    for last, (kind, size, starts) in _automaton().iter(blob.decode("latin-1")):
+        if starts:
+            hits.append((last - size + 1, kind))
+        else:
+            marks[kind].append(last - size + 1)
+    archives = _zip_starts(view, marks["zip end"])
+    for at, kind in sorted(h for h in hits if h[0] >= 0):
+        if at < end:
+            continue
+        length = None
+        if kind == "riff":
+            kind, length = _riff(view, at) or (kind, None)
+        elif kind == "zip":
+            length = archives[at] - at if at in archives else None
+        elif kind == "pdf":
+            xref = _next(marks["xref"], at)
+            last = None if xref is None else _next(marks["eof"], xref)
+            length = None if last is None else last + 5 - at
+        else:
+            length = _CHECK[kind](view, at)
+        if length:
             found.append(Media(kind, at, length))
             end = at + length
     return found

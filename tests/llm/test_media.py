@@ -1,6 +1,8 @@
 import gzip
 import hashlib
 import io
+import struct
+import time
 import zipfile
 import zlib
 
@@ -37,6 +39,27 @@ def test_other_formats():
     assert media.sniff(None) == media.sniff(b"") == media.sniff(b"plain BM text RIFF") == []
 
 
+def test_containers():
+    webp = b"RIFF" + struct.pack("<I", 4 + 8 + 6) + b"WEBPVP8L" + struct.pack("<I", 5) + b"abcde\0"
+    page = lambda flags, data: b"OggS\0" + bytes([flags]) + bytes(8) + b"\1\2\3\4" + bytes(8) + bytes([1, len(data)]) + data
+    ogg = page(2, b"head") + page(0, b"body" * 9) + page(4, b"end")
+    box = lambda kind, data: struct.pack(">I", 8 + len(data)) + kind + data
+    mp4 = box(b"ftyp", b"isom\0\0\0\0") + box(b"mdat", b"x" * 40) + box(b"moov", b"y" * 12)
+    entry = lambda tag, kind, n, v: struct.pack("<HHII", tag, kind, n, v)
+    tiff = b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", 3) + entry(256, 3, 1, 4) + entry(273, 4, 1, 50) + entry(279, 4, 1, 16) + struct.pack("<I", 0) + b"p" * 16
+    for kind, blob in (("webp", webp), ("ogg", ogg), ("mp4", mp4), ("tiff", tiff)):
+        assert media.sniff(b"junk" + blob + b"tail") == [(kind, 4, len(blob))], kind
+        assert media.sniff(blob[: len(blob) // 2]) == []
+
+
+def test_many_chance_hits_take_linear_time():
+    for magic, kind, _ in media.MAGICS:
+        if kind != "gzip":
+            began = time.time()
+            media.sniff((magic + b"PK\x05\x06") * 60_000)
+            assert time.time() - began < 5, kind
+
+
 def test_broken_png_is_dropped_and_types_are_corrected():
     png = media.store(bytes(64), "png")
     assert media.sniff(png[:40] + b"\x01" + png[41:]) == []
