@@ -163,30 +163,35 @@ def _merged(nodes: DataFrame, edges: DataFrame, to: DataFrame) -> tuple[DataFram
     return grown, left
 
 
+def _mutual(nodes: DataFrame, edges: DataFrame, cost, threshold: float) -> DataFrame:
+    """``old, new`` of the regions that are each other's cheapest neighbour below the threshold; the smaller name stays."""
+    priced = edges.join(nodes.alias("x"), F.col("a") == F.col("x.node")).join(nodes.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", F.round(cost(_bands(nodes)), 9).alias("cost"))
+    both = priced.union(priced.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost"))
+    best = both.groupBy("a").agg(F.min(F.struct("cost", "b")).alias("m")).select("a", F.col("m.b").alias("b"), F.col("m.cost").alias("cost"))
+    back = best.select(F.col("a").alias("b"), F.col("b").alias("a"))
+    pairs = best.join(back, ["a", "b"]).where((F.col("a") < F.col("b")) & (F.col("cost") < threshold))
+    return pairs.select(F.col("b").alias("old"), F.col("a").alias("new"))
+
+
 def merge_round(nodes: DataFrame, edges: DataFrame, cost, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Merges every pair of regions that are each other's cheapest neighbour below the threshold.
 
     ``cost`` is one of ``spring``, ``baatz`` and ``full_lambda``. A merged region keeps the smaller name. Costs are compared
     to nine places and ties go to the smaller neighbour, so the round has one outcome.
     """
-    priced = edges.join(nodes.alias("x"), F.col("a") == F.col("x.node")).join(nodes.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", F.round(cost(_bands(nodes)), 9).alias("cost"))
-    both = priced.union(priced.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost"))
-    best = both.groupBy("a").agg(F.min(F.struct("cost", "b")).alias("m")).select("a", F.col("m.b").alias("b"), F.col("m.cost").alias("cost"))
-    back = best.select(F.col("a").alias("b"), F.col("b").alias("a"))
-    pairs = best.join(back, ["a", "b"]).where((F.col("a") < F.col("b")) & (F.col("cost") < threshold))
-    return _merged(nodes, edges, pairs.select(F.col("b").alias("old"), F.col("a").alias("new")))
+    return _merged(nodes, edges, _mutual(nodes, edges, cost, threshold))
 
 
 def merge_regions(nodes: DataFrame, edges: DataFrame, cost, threshold: float, rounds: int = 1000) -> DataFrame:
     """Rounds of mutual merging until no edge is cheap enough; raises if ``rounds`` don't suffice."""
-    n = nodes.count()
+    nodes, edges = saved(nodes), saved(edges)
     for _ in range(rounds):
-        before = nodes, edges
-        nodes, edges = (saved(f) for f in merge_round(nodes, edges, cost, threshold))
-        dropped(*before)
-        n, was = nodes.count(), n
-        if n == was:
+        to = saved(_mutual(nodes, edges, cost, threshold))
+        if not to.limit(1).count():
             return nodes
+        before = nodes, edges, to
+        nodes, edges = (saved(f) for f in _merged(nodes, edges, to))
+        dropped(*before)
     raise RuntimeError(f"regions still merge after {rounds} rounds")
 
 
