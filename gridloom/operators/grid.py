@@ -254,6 +254,14 @@ def filled(grid: DataFrame, rows: int, cols: int, value: dict[str, float]) -> Da
     return every.join(grid, ["row", "col"], "left").na.fill(value)
 
 
+def wrapped(grid: DataFrame, rows: int, cols: int, to_rows: int, to_cols: int) -> DataFrame:
+    """A larger grid that repeats the rows x cols one: every place takes the cell of its remainders."""
+    spark: SparkSession = grid.sparkSession
+    every = spark.range(to_rows * to_cols).select(F.expr(f"cast(id div {to_cols} as int)").alias("_row"), (F.col("id") % to_cols).cast("int").alias("_col"))
+    every = every.withColumn("row", F.col("_row") % max(1, rows)).withColumn("col", F.col("_col") % max(1, cols))
+    return every.join(grid, ["row", "col"]).drop("row", "col").withColumnsRenamed({"_row": "row", "_col": "col"})
+
+
 def crop(grid: DataFrame, top: int, left: int, rows: int, cols: int) -> DataFrame:
     """The region, with places counted from its corner."""
     inside = F.col("row").between(top, top + rows - 1) & F.col("col").between(left, left + cols - 1)

@@ -113,6 +113,22 @@ def overlap_matrix(frame: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.withColumn("size_a", F.sum("overlap").over(Window.partitionBy(a))).withColumn("size_b", F.sum("overlap").over(Window.partitionBy(b)))
 
 
+def hoover(cells: DataFrame, a: str, b: str, tolerance: float) -> DataFrame:
+    """How each region of the reference ``a`` fares in the segmentation ``b``: ``region, kind``.
+
+    correct: it and a region of b share the tolerated part of both; split: several regions of b lie in it and fill it; merged:
+    several regions of a, it among them, lie in one of b and fill it; missed: none of these.
+    """
+    o = overlap_matrix(cells, a, b)
+    in_a, in_b = F.col("overlap") >= F.lit(tolerance) * F.col("size_a"), F.col("overlap") >= F.lit(tolerance) * F.col("size_b")
+    named = lambda f, kind: f.select(F.col(a).alias("region"), F.lit(kind).alias("kind"))
+    filled = lambda f, key, size: f.groupBy(key).agg(F.count("*").alias("k"), F.sum("overlap").alias("n"), F.max(size).alias("s")).where((F.col("k") > 1) & (F.col("n") >= F.lit(tolerance) * F.col("s"))).select(key)
+    split, merged = o.where(in_b & ~in_a), o.where(in_a & ~in_b)
+    found = named(o.where(in_a & in_b), "correct").unionByName(named(filled(split, a, "size_a"), "split")).unionByName(named(merged.join(filled(merged, b, "size_b"), b), "merged"))
+    rest = o.select(F.col(a).alias("region")).distinct().join(found, "region", "left_anti")
+    return found.unionByName(rest.withColumn("kind", F.lit("missed")))
+
+
 def difference(frame: DataFrame, a: Column, b: Column, *keys: str) -> DataFrame:
     """Mean squared and absolute error, peak signal to noise ratio against the largest ``a``, and how many rows differ."""
     mse = F.avg((a - b) * (a - b))
