@@ -214,3 +214,47 @@ def convex_hull(points: Column) -> Column:
     lower, upper = chain(ps), chain(F.reverse(ps))
     body = lambda c: F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0)))
     return F.when(F.size(ps) <= 2, ps).otherwise(F.concat(body(lower), body(upper)))
+
+
+def quad_key(box: Column) -> Column:
+    """Level and corner of the smallest power-of-two square of the plane's grid that holds a box: what a quadtree files it under.
+
+    The level is the exponent of a side. It starts at the box's own extent and rises until one square holds both corners.
+    """
+    extent = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
+    start = F.when(extent > 0, F.ceil(F.log2(F.when(extent > 0, extent)))).otherwise(F.lit(-1)).cast("int")
+    side = lambda k: F.pow(F.lit(2.0), k)
+    whole = lambda k: (F.floor(box["minx"] / side(k)) == F.floor(box["maxx"] / side(k))) & (F.floor(box["miny"] / side(k)) == F.floor(box["maxy"] / side(k)))
+    level = F.aggregate(F.sequence(F.lit(1), F.lit(64)), start, lambda k, _: F.when(whole(k), k).otherwise(k + 1))
+    held = F.transform(F.array(level), lambda k: F.struct(k.alias("level"), (F.floor(box["minx"] / side(k)) * side(k)).alias("x"), (F.floor(box["miny"] / side(k)) * side(k)).alias("y")))
+    return held[0]
+
+
+def part_of_path(path: Column, start: float, end: float) -> Column:
+    """The path between two lengths along it, with the points where it is cut."""
+    zero = F.struct(F.lit(0.0).alias("way"), F.slice(path, 1, 0).alias("out"))
+    edges = F.arrays_zip(F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))
+
+    def step(s: Column, e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        l = F.hypot(b["x"] - a["x"], b["y"] - a["y"])
+        at = lambda w: F.struct((a["x"] + (b["x"] - a["x"]) * (w - s["way"]) / l).alias("x"), (a["y"] + (b["y"] - a["y"]) * (w - s["way"]) / l).alias("y"))
+        low, high = F.greatest(F.lit(float(start)), s["way"]), F.least(F.lit(float(end)), s["way"] + l)
+        some = F.array(at(low), at(high))
+        first = F.size(s["out"]) == 0
+        return F.struct((s["way"] + l).alias("way"), F.when((l == 0) | (low > high), s["out"]).otherwise(F.concat(s["out"], F.when(first, some).otherwise(F.slice(some, 2, 1)))).alias("out"))
+
+    return F.aggregate(edges, zero, step, lambda s: s["out"])
+
+
+def minimum_clearance(path: Column) -> Column:
+    """Least distance of a corner to another corner or to a segment that doesn't end at it; null below two corners."""
+    edges = F.arrays_zip(F.slice(path, 1, F.size(path) - 1).alias("a"), F.slice(path, 2, F.size(path) - 1).alias("b"))
+
+    def from_corner(p: Column) -> Column:
+        same = lambda q: (p["x"] == q["x"]) & (p["y"] == q["y"])
+        points = F.transform(F.filter(path, lambda q: ~same(q)), lambda q: F.hypot(p["x"] - q["x"], p["y"] - q["y"]))
+        lines = F.transform(F.filter(edges, lambda e: ~same(e["a"]) & ~same(e["b"])), lambda e: segment_distance(p["x"], p["y"], e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]))
+        return F.array_min(F.concat(points, lines))
+
+    return F.array_min(F.transform(path, from_corner))

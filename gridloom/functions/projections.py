@@ -159,3 +159,18 @@ def lagrange(x: Column, knots: list[float], values: list[Column]) -> Column:
                 term = term * (x - b) / (a - b)
         out = out + term
     return out
+
+# Shift along the axis (metres), turn about it (seconds of arc) and scale from the world system of 1972 to that of 1984.
+WGS72 = (4.5, 0.554, 0.2263e-6)
+
+
+def from_wgs72(x: Column, y: Column, z: Column) -> tuple[Column, Column, Column]:
+    """Earth-centred coordinates of the older world system in the newer one."""
+    dz, turn, scale = WGS72[0], math.radians(WGS72[1] / 3600), 1 + WGS72[2]
+    return F.lit(scale) * (x - F.lit(turn) * y), F.lit(scale) * (F.lit(turn) * x + y), F.lit(scale) * z + F.lit(dz)
+
+
+def elevation_tile(lon: Column, lat: Column) -> Column:
+    """Name of the one-degree elevation tile that holds a place, after its south-western corner."""
+    part = lambda v, plus, minus, width: F.concat(F.when(v >= 0, F.lit(plus)).otherwise(F.lit(minus)), F.lpad(F.abs(F.floor(v)).cast("string"), width, "0"))
+    return F.concat(part(lat, "N", "S", 2), part(lon, "E", "W", 3))

@@ -31,4 +31,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from . import bodies, colour, extras, filters, imagery, learning, numerics, objects, projections, raster, relational, scalars, spatial, vectors  # noqa: F401
+    from . import bodies, colour, extras, filters, imagery, learning, numerics, objects, places, projections, raster, relational, scalars, spatial, vectors  # noqa: F401
