@@ -4,7 +4,7 @@ import corpus_pipeline as P
 from gridloom.llm import pii
 
 from ..conftest import SF as SMALL
-from .common import DOCS, shingles, words
+from .common import DOCS, awkward, frame, shingles, words
 
 SF = SMALL.replace("0.001", "0.01")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -50,6 +50,36 @@ def test_stages(spark, tmp_path):
     assert set(g) <= set(f) and all(r["taken"] == r["epochs"] * len(words(r["text"])) > 0 for r in g.values())
 
 
+def test_stages_on_awkward_rows(spark, tmp_path):
+    rows = [*awkward(4), (4, "another text of the fourth id " + "x y z " * 9, "en", "a", 5), (None, "alone without an id " + "u v w " * 9, None, None, None)]
+    docs = frame(spark, rows)
+    columns = docs.columns
+    for k, (name, stage) in enumerate(P.STAGES):
+        before = docs.collect()
+        out = stage(spark, docs, SMALL)
+        out.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        more = ["size", "source_size", "target", "taken", "epochs"]
+        assert docs.columns == (columns if k < 4 else [c for c in columns if c not in more] + more), name
+        if k == 1:
+            # of each group the least id; different texts of an id are told apart, empty texts stay
+            sets = [shingles(r["text"]) for r in before]
+            root = list(range(len(before)))
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets[:i]):
+                    if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                        p, q = root[i], root[j]
+                        root = [q if x == p else x for x in root]
+            groups = {}
+            for i, r in enumerate(before):
+                groups.setdefault(root[i] if sets[i] else ("empty", r["doc_id"]), []).append((r["doc_id"] is None, r["doc_id"] or 0))
+            want = sorted(min(g) for g in groups.values())
+            assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in docs.collect()) == want
+        elif k == 3:
+            assert docs.count() == len(before)
+    assert docs.count() > 0
+
+
 def test_run_and_empty(spark, tmp_path):
     for name in ("labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
