@@ -139,7 +139,7 @@ def _pivots(levels: np.ndarray) -> np.ndarray:
     return np.array(cuts, np.uint64)
 
 
-def _prefixes(batches, levels: np.ndarray, percent: int):
+def _prefixes(batches, levels: np.ndarray, percent: int, above: int):
     """The prefix of each class in this task: ``token, hi, lo, n, pos, salt, parts``."""
     names = ["token", "hi", "lo", "n", "pos", "salt", "parts"]
     seen: set[tuple[int, int]] = set()
@@ -163,7 +163,7 @@ def _prefixes(batches, levels: np.ndarray, percent: int):
         take = n - _need(n, percent) + 1
         at = np.argsort(place, kind="stable")[:take]
         token = u[at]
-        parts = np.exp2(np.maximum(0, np.ceil((place[at] >> _U(56)).astype(np.float64) / 4 - np.log2(SALT_ABOVE)))).astype(np.uint64)
+        parts = np.exp2(np.maximum(0, np.ceil((place[at] >> _U(56)).astype(np.float64) / 4 - np.log2(above)))).astype(np.uint64)
         salt = np.where(parts > 1, textops.mix(token ^ _U(cls[1] & (2**64 - 1))) % parts, _U(0))
         for column, x in zip(out, (token, np.full(take, cls[0], np.int64), np.full(take, cls[1], np.int64), np.full(take, n), np.arange(take), salt, parts > 1), strict=True):
             column.append(x)
@@ -254,8 +254,8 @@ class JaccardJoin:
 
     def _index(self) -> DataFrame:
         """Rows ``token, salt, parts, cls, n, pos`` of the prefixes whose token stands in several classes of like size."""
-        held, percent = self.spark.sparkContext.broadcast(self.levels), self.percent
-        rows = self.docs.select("text").mapInArrow(lambda b: _prefixes(b, held.value, percent), "token long, hi long, lo long, n int, pos int, salt int, parts boolean")
+        held, percent, above = self.spark.sparkContext.broadcast(self.levels), self.percent, SALT_ABOVE
+        rows = self.docs.select("text").mapInArrow(lambda b: _prefixes(b, held.value, percent, above), "token long, hi long, lo long, n int, pos int, salt int, parts boolean")
         run = Window.partitionBy("token", "salt").orderBy("n", "hi", "lo")
         # each task gives a class once, so copies in several tasks give equal rows
         rows = rows.withColumn("same", F.lag(F.struct("hi", "lo")).over(run)).where(F.col("same").isNull() | (F.col("same") != F.struct("hi", "lo"))).drop("same")
@@ -327,9 +327,9 @@ class JaccardJoin:
         near = index.withColumn("backs", back).withColumn("back", F.explode("backs")).where(self._may_link(F.col("back.n"), F.col("back.pos"), F.col("n"), F.col("pos")))
         near = self._few(near.select(F.least("cls", "back.cls").alias("a"), F.greatest("cls", "back.cls").alias("b")), n)
         seen = s.add(self._few(near.distinct(), n), "seen")
-        # all pairs of a token with few classes have been seen
+        # all pairs of a token with few classes have been seen, unless it is split: copies make it frequent, and few classes may lie apart
         parts = self._few(index.groupBy("token", "salt").agg(F.count("*").alias("k")), n)
-        many = parts.groupBy("token").agg(F.sum("k").alias("k")).where(F.col("k") > NEIGHBOURS + 1).select("token")
+        many = parts.groupBy("token").agg(F.sum("k").alias("k"), F.count("*").alias("salts")).where((F.col("k") > NEIGHBOURS + 1) | (F.col("salts") > 1)).select("token")
         salts = s.table(self._few(parts.select("token", "salt").join(many, "token"), n), "salts")  # joins by both split a token with very many rows
         index = s.table(self._few(index.join(salts, ["token", "salt"]), n), "mixed index")
         n = s.rows("mixed index")

@@ -74,6 +74,17 @@ def test_copies_in_several_tasks_leave_room_for_other_classes(spark):
     assert (4, 100, 0) in brute(rows)
 
 
+def test_few_classes_of_a_split_shingle(spark, monkeypatch):
+    # copies alone make these shingles frequent, so they are split, and the two classes of a pair may lie in different parts
+    monkeypatch.setattr(jaccard_join, "SALT_ABOVE", 2)
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(100)]
+        texts = [" ".join(base), " ".join([*base, *(f"g{g}e{k}" for k in range(23))])]
+        rows += [(100 * g + k, texts[k % 2], None, None, None) for k in range(16)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_a_text_without_an_id_links_others(spark):
     a, b, c = ([*(f"x{k}" for k in range(100)), *(f"{x}{k}" for k in range(12 if x != "m" else 0))] for x in "amc")
     rows = [(10, " ".join(a), None, None, None), (None, " ".join(b), None, None, None), (11, " ".join(c), None, None, None)]
