@@ -5,7 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from decimal import ROUND_HALF_UP, Decimal
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -182,16 +186,206 @@ def merge_round(nodes: DataFrame, edges: DataFrame, cost, threshold: float) -> t
     return _merged(nodes, edges, _mutual(nodes, edges, cost, threshold))
 
 
+#: Regions to a strip, and of the neighbouring strips that are simulated with it.
+STRIP, MARGIN = 200_000, 150_000
+
+
+def _nine_places(cost: np.ndarray) -> np.ndarray:
+    """Rounded half up to nine places of the shortest decimal form, as Spark rounds."""
+    v = cost * 1e9
+    out = np.where(np.abs(v) < 2.0**52, np.rint(v) / 1e9, cost)
+    for k in np.flatnonzero(np.abs(v - np.floor(v) - 0.5) < 1e-4 + np.abs(v) * 1e-15):
+        out[k] = float(Decimal(repr(float(cost[k]))).quantize(Decimal("1e-9"), ROUND_HALF_UP))
+    return out
+
+
+def _spring_of(sums: list[np.ndarray], area: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(a))
+    for s in sums:
+        d = s[a] / area[a] - s[b] / area[b]
+        total = total + d * d
+    return np.sqrt(total)
+
+
+#: Costs that a strip can price itself, from the bands' sums and the areas.
+_IN_STRIPS = {spring: _spring_of}
+
+
+def _strip_rounds(left: pa.Table, right: pa.Table, own: tuple[int, int], price, threshold: float, most: int, names: list[str]) -> tuple[tuple[pa.Table, pa.Table], int, int]:
+    """Rounds of mutual merging among a strip's regions and those of its margins, at most ``most``, while all of its own are certain.
+
+    Regions whose edges lead out of what is here are unknown. A region that may choose or be chosen by an unknown one, or whose
+    choice may, is unknown after that round; so what is known equals the whole grid's state. Returns the strip's own regions and
+    edges, the number of rounds, and the last that merged any of its own.
+    """
+    left = left.sort_by("node")
+    node = left["node"].to_numpy()
+    v = {c: left[c].to_numpy().copy() for c in names}
+    sums = [v[c] for c in names if c[0] == "s"]
+    a, b, border = (right[c].to_numpy() for c in ("a", "b", "boundary"))
+    ends = []
+    known = np.ones(len(a), bool)
+    for x in (a, b):
+        at = np.minimum(np.searchsorted(node, x), len(node) - 1)
+        ok = node[at] == x
+        known &= ok
+        ends.append((at, ok))
+    bad = np.zeros(len(node), bool)
+    for (at, ok), (_, other) in (ends, ends[::-1]):
+        bad[at[ok & ~other]] = True
+    a, b, border = ends[0][0][known], ends[1][0][known], border[known]
+    n = len(node)
+    core, alive = (node >= own[0]) & (node < own[1]), np.ones(n, bool)
+    cost = _nine_places(price(sums, v["area"], a, b))
+
+    def beside(bad):
+        out = bad.copy()
+        out[a[bad[b]]] = True
+        out[b[bad[a]]] = True
+        return out
+
+    t = last = 0
+    unsure = beside(bad)
+    if (unsure & core).any():
+        return _strip_tables(node, v, alive & core, a, b, border, names), -1, 0
+    while t < most:
+        # each region's cheapest known neighbour
+        ok = ~(bad[a] | bad[b])
+        src, dst, c = np.concatenate((a[ok], b[ok])), np.concatenate((b[ok], a[ok])), np.concatenate((cost[ok], cost[ok]))
+        least = np.full(n, np.inf)
+        np.minimum.at(least, src, c)
+        tie = c == least[src]
+        best = np.full(n, n)
+        np.minimum.at(best, src[tie], dst[tie])
+        cheap = np.flatnonzero((best < n) & (least < threshold))
+        mutual = cheap[best[best[cheap]] == cheap]
+        sure = ~unsure[mutual] & ~unsure[best[mutual]]
+        open_ = unsure.copy()
+        open_[mutual[~sure]] = True
+        i = mutual[sure]
+        i = i[i < best[i]]
+        j = best[i]
+        if not len(i) and not open_.any():
+            t = most  # nothing is unknown and nothing merges any more
+            break
+        to = np.arange(n)
+        to[j] = i
+        hit = np.zeros(n, bool)
+        hit[i] = hit[j] = True
+        na, nb = to[a], to[b]
+        after = open_.copy()
+        after[na[open_[nb]]] = True
+        after[nb[open_[na]]] = True
+        live = alive.copy()
+        live[j] = False
+        if (after & core & live).any():
+            break
+        # the round holds: regions grow, edges of those that grew are joined and priced again
+        if len(i):
+            moved = hit[a] | hit[b]
+            ma, mb, mm = np.minimum(na, nb)[moved], np.maximum(na, nb)[moved], border[moved]
+            inside = ma == mb
+            for c_ in names:
+                if c_ in ("r0", "c0"):
+                    v[c_][i] = np.minimum(v[c_][i], v[c_][j])
+                elif c_ in ("r1", "c1"):
+                    v[c_][i] = np.maximum(v[c_][i], v[c_][j])
+                else:
+                    v[c_][i] += v[c_][j]
+            np.subtract.at(v["perimeter"], ma[inside], 2 * mm[inside])
+            code, back = np.unique(ma[~inside] * n + mb[~inside], return_inverse=True)
+            summed = np.zeros(len(code), border.dtype)
+            np.add.at(summed, back, mm[~inside])
+            fa, fb = code // n, code % n
+            a, b, border = np.concatenate((a[~moved], fa)), np.concatenate((b[~moved], fb)), np.concatenate((border[~moved], summed))
+            cost = np.concatenate((cost[~moved], _nine_places(price(sums, v["area"], fa, fb))))
+            alive = live
+        t += 1
+        if core[i].any():
+            last = t
+        bad, unsure = open_, after
+    return _strip_tables(node, v, alive & core, a, b, border, names), t, last
+
+
+def _strip_tables(node, v, own, a, b, border, names) -> tuple[pa.Table, pa.Table]:
+    kept = own[a]
+    return pa.table({"node": node[own], **{c: v[c][own] for c in names}}), pa.table({"a": node[a[kept]], "b": node[b[kept]], "boundary": border[kept]})
+
+
+def _in_strips(nodes: DataFrame, edges: DataFrame, price, threshold: float, most: int, states: bool) -> DataFrame:
+    """Each strip's rows: its regions, its edges where ``states``, and one with the rounds it is certain of and the last that merged."""
+    names = [c for c in nodes.columns if c != "node"]
+    low, high, n = nodes.agg(F.min("node"), F.max("node"), F.count("*")).first()
+    strips = -(-n // STRIP)
+    width = -(-(high - low + 1) // strips)
+    margin = min(width, -(-(high - low + 1) * MARGIN // n))
+    strip = lambda x: F.expr(f"({x} - {low}) div {width}")
+
+    def touched(x: str):
+        at, within = strip(x), F.expr(f"({x} - {low}) % {width}")
+        return F.array_compact(F.array(at, F.when((within < margin) & (at > 0), at - 1), F.when((within >= width - margin) & (at < strips - 1), at + 1)))
+
+    kinds = {c: "double" if c[0] in "sq" else "long" for c in names}
+    schema = ", ".join(["kind int", "node long", *(f"{c} {k}" for c, k in kinds.items()), "a long", "b long", "boundary long", "rounds long", "last long"])
+
+    def one(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        s = key[0].as_py()
+        (own, links), t, last = _strip_rounds(left, right, (low + s * width, low + (s + 1) * width), price, threshold, most, names)
+        parts = [own.append_column("kind", pa.array(np.zeros(own.num_rows, np.int32))), pa.table({"kind": pa.array([2], pa.int32()), "rounds": [t], "last": [last]})]
+        if states:
+            parts.append(links.append_column("kind", pa.array(np.ones(links.num_rows, np.int32))))
+        whole = pa.concat_tables(parts, promote_options="default")
+        fields = [("kind", pa.int32()), ("node", pa.int64()), *((c, pa.float64() if k == "double" else pa.int64()) for c, k in kinds.items()), *((c, pa.int64()) for c in ("a", "b", "boundary", "rounds", "last"))]
+        return pa.table({c: whole[c].cast(k) if c in whole.column_names else pa.nulls(whole.num_rows, k) for c, k in fields})
+
+    left = nodes.withColumn("strip", F.explode(touched("node")))
+    right = edges.withColumn("strip", F.explode(F.array_union(touched("a"), touched("b"))))
+    return left.repartition(strips, "strip").groupBy("strip").cogroup(right.repartition(strips, "strip").groupBy("strip")).applyInArrow(one, schema)
+
+
+def _even(nodes: DataFrame) -> bool:
+    """Whether strips of names can be held by one task each, and no sum is unknown."""
+    low, high, n = nodes.agg(F.min("node"), F.max("node"), F.count("*")).first()
+    if not n:
+        return False
+    width = -(-(high - low + 1) // -(-n // STRIP))
+    if nodes.groupBy(F.expr(f"(node - {low}) div {width}")).count().agg(F.max("count")).first()[0] > 4 * STRIP:
+        return False
+    odd = [F.col(c).isNull() for c in nodes.columns] + [F.isnan(c) | (F.abs(c) == float("inf")) for c in nodes.columns if c[0] in "sq"]
+    return not nodes.where(reduce(Column.__or__, odd)).limit(1).count()
+
+
 def merge_regions(nodes: DataFrame, edges: DataFrame, cost, threshold: float, rounds: int = 1000) -> DataFrame:
-    """Rounds of mutual merging until no edge is cheap enough; raises if ``rounds`` don't suffice."""
+    """Rounds of mutual merging until no edge is cheap enough; raises if ``rounds`` don't suffice.
+
+    Where the cost can be priced in strips of names with margins, each task goes as many rounds as its own regions can't feel what
+    lies beyond; the result is that of rounds over the whole table. What doesn't settle so is carried on from the rounds that all
+    strips are certain of, and a round that no strip is certain of is made by joins.
+    """
     nodes, edges = saved(nodes), saved(edges)
-    for _ in range(rounds):
+    price, done = _IN_STRIPS.get(cost), 0
+    while done < rounds:
+        if price is not None and _even(nodes):
+            kept = nodes.columns
+            got = saved(_in_strips(nodes, edges, price, threshold, rounds - done, False))
+            sure, last = got.where("kind = 2").agg(F.min("rounds"), F.max("last")).first()
+            if sure > last:
+                dropped(nodes, edges)
+                return got.where("kind = 0").select(*kept)
+            dropped(got)
+            if sure > 0:
+                got = saved(_in_strips(nodes, edges, price, threshold, sure, True))
+                dropped(nodes, edges)
+                nodes, edges = got.where("kind = 0").select(*kept), got.where("kind = 1").select("a", "b", "boundary")
+                done += sure
+                continue
         to = saved(_mutual(nodes, edges, cost, threshold))
         if not to.limit(1).count():
             return nodes
         before = nodes, edges, to
         nodes, edges = (saved(f) for f in _merged(nodes, edges, to))
         dropped(*before)
+        done += 1
     raise RuntimeError(f"regions still merge after {rounds} rounds")
 
 

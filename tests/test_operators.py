@@ -122,6 +122,21 @@ def test_unfinished_merging_raises(spark):
     assert graph.merge_regions(nodes, edges, graph.spring, 5.0).count() == 1
 
 
+def test_merging_in_strips_equals_rounds_over_the_whole_table(spark, monkeypatch):
+    cells = np.random.default_rng(8).integers(0, 30, (40, 6)).astype(float)
+    nodes, edges = graph.cell_regions(image(spark, cells), ["v"], 6)
+    rows = lambda: sorted(map(tuple, graph.merge_regions(nodes, edges, graph.spring, 4.0).collect()))
+    mutual = graph._mutual
+    monkeypatch.setattr(graph, "_mutual", lambda *a: pytest.fail("a joined round"))
+    whole = rows()
+    monkeypatch.setattr(graph, "STRIP", 60)
+    monkeypatch.setattr(graph, "MARGIN", 42)
+    in_strips = rows()
+    monkeypatch.setattr(graph, "_mutual", mutual)
+    monkeypatch.setattr(graph, "_IN_STRIPS", {})
+    assert rows() == whole == in_strips and 20 < len(whole) < 200
+
+
 def outline(mask):
     """Sides of a region's cells that no other cell of it shares."""
     p = np.pad(mask, 1)
