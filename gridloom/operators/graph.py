@@ -61,11 +61,76 @@ def grid_edges(cells: DataFrame, same: Column, width: int, eight: bool = False)
     return pairs.select(F.least(at("x"), at("y")).alias("a"), F.greatest(at("x"), at("y")).alias("b"))
 
 
+#: Links that a task contracts at a time.
+LINKS = 1_000_000
+
+
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of the links (a, b) with the smallest node that they connect it to."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    low = np.arange(len(nodes))
+    while len(x):
+        np.minimum.at(low, np.maximum(low[x], low[y]), np.minimum(low[x], low[y]))
+        while (low[low] != low).any():
+            low = low[low]
+        apart = low[x] != low[y]
+        x, y = x[apart], y[apart]
+    return nodes, nodes[low]
+
+
+def _contracted(batches):
+    """``node, root`` of the links (a, b) of a task, LINKS of them at a time."""
+    held: list[pa.RecordBatch] = []
+
+    def made():
+        a, b = (np.concatenate([x.column(k).to_numpy(zero_copy_only=False) for x in held]).astype(np.int64) for k in (0, 1))
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in _stars(a, b)], ["node", "root"])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(x.num_rows for x in held) >= LINKS:
+            yield made()
+    if held:
+        yield made()
+
+
 def components(nodes: DataFrame, edges: DataFrame, longest: int = 100) -> DataFrame:
-    """``node, label``: the smallest node that links reach. Labels hop along links and along labels, so the rounds grow
-    with the logarithm of a component's diameter; each round is a table in the shared folder, and the round before it goes."""
+    """``node, label``: the smallest node that links reach.
+
+    Each task first contracts a range of the links. Only roots that a node has from several of them are linked further: few where
+    links join near names, as on a grid. Those hop along links and along labels (see ``_hopped``).
+    """
+    links = saved(edges.where("a is not null and b is not null").select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b")).where("a < b"))
+    n = links.count()
+    if not n:
+        return nodes.select("node", F.col("node").alias("label"))
+    sorted_ = links.repartitionByRange(1 + n // LINKS, "a", "b").sortWithinPartitions("a", "b") if n > LINKS else links.coalesce(1)
+    roots = saved(sorted_.mapInArrow(_contracted, "node long, root long"))
+    dropped(links)
+    own = roots.groupBy("node").agg(F.min("root").alias("root"), F.max("root").alias("_most"))
+    if n > LINKS:
+        twice = own.where("root <> _most").select("node", F.col("root").alias("a"))
+        across = saved(roots.join(twice, "node").where("root <> a").select("a", F.col("root").alias("b")).distinct())
+        top = _hopped(across, longest)
+        own = own.join(top.select(F.col("node").alias("root"), "label"), "root", "left").select("node", F.coalesce("label", "root").alias("root"))
+        out = saved(nodes.select("node").join(own, "node", "left").select("node", F.coalesce("root", "node").alias("label")))
+        dropped(across, top, roots)
+        return out
+    out = saved(nodes.select("node").join(own, "node", "left").select("node", F.coalesce("root", "node").alias("label")))
+    dropped(roots)
+    return out
+
+
+def _hopped(edges: DataFrame, longest: int) -> DataFrame:
+    """``node, label`` of the nodes of ``edges``. Labels hop along links and along labels, so the rounds grow with the logarithm of
+    a component's diameter; each round is a table in the shared folder, and the round before it goes. LINKS or fewer are taken at once."""
+    if edges.count() <= LINKS:
+        return saved(edges.coalesce(1).mapInArrow(_contracted, "node long, root long").withColumnRenamed("root", "label"))
     both = saved(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = saved(nodes.select("node", F.col("node").alias("label")))
+    labels = saved(both.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("label")))
     for _ in range(longest):
         low = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("low"))
         new = labels.join(low, "node", "left").select("node", F.least("label", F.coalesce("low", "label")).alias("label"), F.col("label").alias("before"))

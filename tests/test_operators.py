@@ -102,6 +102,24 @@ def test_components_against_union_find(spark):
     assert {r["node"]: r["label"] for r in got.collect()} == {x: find(x) for x in nodes}
 
 
+def test_components_contracted_in_ranges(spark, monkeypatch):
+    cells = np.random.default_rng(6).integers(0, 2, (30, 8))
+    links = [(8 * r + c, 8 * i + j) for r in range(30) for c in range(8) for i, j in ((r, c + 1), (r + 1, c)) if i < 30 and j < 8 and cells[r, c] == cells[i, j]]
+    links = [p if k % 2 else p[::-1] for k, p in enumerate(links)] + [(1000, 3000), (3000, 2000), (2000, 1001), (5, 5)]
+    want = {x: x for x in [*range(240), 1000, 1001, 2000, 3000, 9999]}
+    for _ in range(len(want)):
+        before = dict(want)
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+        if before == want:
+            break
+    nodes, edges = spark.createDataFrame([(x,) for x in want], "node long"), spark.createDataFrame(links, "a long, b long")
+    for most in (1_000_000, 70, 5):
+        monkeypatch.setattr(graph, "LINKS", most)
+        got = graph.components(nodes, edges).collect()
+        assert len(got) == len(want) and {r["node"]: r["label"] for r in got} == want
+
+
 def regions(spark, rows, edges):
     """Regions (node, area, mean) without outlines."""
     made = [(n, a, 4, 0, 0, 0, 0, float(a * m), float(a * m * m)) for n, a, m in rows]
